@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import near_dedup
+from tessera.llm import lines, near_dedup, packing, private, toxicity
+from tessera.llm.scratch import Scratch
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return toxicity.keep_clean(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def lines_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that repeat an earlier one go; every document stays."""
+    return lines.dedup_lines(docs).select(*docs.columns)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -12,15 +23,29 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return near_dedup.drop_near_duplicates(docs)
 
 
-STAGES = [("near-duplicates", near_stage)]
+def private_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Private data gives way to pseudonyms."""
+    return private.pseudonymize(docs).select(*docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of 2,048 tokens."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("lines", lines_stage),
+    ("near duplicates", near_stage),
+    ("private data", private_stage),
+    ("packing", packing_stage),
+]
 
 #: No SQL says what the classifier, the fuzzy lines and the linear program of the stages do.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tessera.llm.scratch import Scratch
-
     scratch = Scratch(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from tessera.llm import near_dedup
+from tessera.llm import lines, near_dedup, neighbours, packing, passages, private, topk, toxicity
 
 QUERIES = {
+    "op2_pii_pseudonyms": private.query,
+    "op4_nearest_neighbours": neighbours.query,
+    "op5_line_dedup": lines.query,
+    "op6_toxicity": toxicity.query,
+    "op7_topk_search": topk.query,
     "op8_minhash_near_dedup": near_dedup.query,
+    "op9_packing": packing.query,
+    "op10_paragraph_dedup": passages.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op7_topk_search": topk.ORACLE}
