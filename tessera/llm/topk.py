@@ -87,8 +87,8 @@ def query(spark, sf_dir: str) -> DataFrame:
 
 
 ORACLE = """
-with e as (select vec_id, list_transform(embedding, x -> floor(64 * x::double)) as w from embeddings
-  where vec_id is not null and embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x::double))) = 0),
+with e as (select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)) as w from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0),
 p as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.w, c.w)::bigint as score
   from e q join e c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id),
 r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank from p)
