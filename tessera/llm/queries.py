@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tessera.llm import lines, near_dedup, neighbours, packing, passages, private, substrings, topk, toxicity
+from tessera.llm import lines, near_dedup, neighbours, packing, passages, pieces, private, substrings, topk, toxicity
 
 QUERIES = {
     "op1_substring_dedup": substrings.query,
     "op2_pii_pseudonyms": private.query,
+    "op3_sentencepiece": pieces.query,
     "op4_nearest_neighbours": neighbours.query,
     "op5_line_dedup": lines.query,
     "op6_toxicity": toxicity.query,
