@@ -6,17 +6,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.components import group_by_links
 from tessera.llm.scratch import Scratch, rename_clashes
 from tessera.llm.words import WordHashes, shingles, texts_of, word_numbers
 
-#: Retained values of a document, and the share of them that two linked documents have in common at least. A share
-#: estimated on 64 values has a standard deviation under 0.05 at a Jaccard similarity of 0.85, so 0.6 loses a link
-#: less than once in a million; documents with fewer shingles than that are retained whole.
-RETAINED, SHARED = 64, 0.6
+#: Retained values of a document, and the standard errors that a share counted on them may fall short of the true one:
+#: a linked pair is lost less than once in 100,000. Documents with fewer shingles are retained whole, without error.
+RETAINED, ERRORS = 128, 4.5
 
 
 def _sets(width: int, retained: int | None, ids: str):
@@ -48,6 +47,16 @@ def _sets(width: int, retained: int | None, ids: str):
     return run, f"{ids} long, n_shingles long, sum long, xor long, vals array<long>"
 
 
+def _shared(one: Column, two: Column, threshold: float) -> Column:
+    """Values that the sketches of two linked sets of these sizes have in common at least."""
+    low, high = F.least(one, two), F.greatest(one, two)
+    share = F.least(F.lit(1.0), threshold / (1 + threshold) * (1 + low / high))
+    kept = F.least(high, F.lit(RETAINED))
+    # Of draws without replacement: little is left to chance where most of a set is retained.
+    error = F.when(high > RETAINED, ERRORS * F.sqrt(kept * share * (1 - share) * (high - RETAINED) / (high - 1))).otherwise(0.0)
+    return kept * share - error - 1e-9
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.85, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_shingles, component_id, kept)`` for each row of ``docs``.
 
@@ -56,7 +65,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.85, width: int = 5, id
     the component is the smallest id reachable, and the document with that id is kept.
 
     Copies of one set are first merged to one representative by count, sum and exclusive or of their shingles. Each
-    representative keeps the 64 smallest hashes of its set. Linked sets share a known part of those, so they share
+    representative keeps the 128 smallest hashes of its set. Linked sets share a known part of those, so they share
     one even among each set's rarest few; only these enter inverted lists. Pairs from a list pass the estimate on
     the union's sketch, then the exact Jaccard similarity of the full sets.
 
@@ -73,16 +82,16 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.85, width: int = 5, id
     rep = scratch.keep(rep)
     values = rep.select("rep", "n_shingles", F.explode("vals").alias("key"))
     common = values.groupBy("key").agg(F.count("*").alias("df")).where("df > 1")
-    # A set whose s values hold r that no other has can skip its lists beyond the first s - ceil(SHARED s) + 1 rarest.
     held = values.join(common, "key").groupBy("rep", "n_shingles").agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("held"))
+    # In the order rarest first, linked sets share a value that has few enough others before it in both.
     size = F.least(F.col("n_shingles"), F.lit(RETAINED))
-    prefix = size - F.ceil(size * SHARED) + 1
+    prefix = size - _shared(F.col("n_shingles"), F.col("n_shingles") * threshold, threshold) + 1
     rare = size - F.size("held")
-    lists = held.withColumn("open", F.greatest(F.lit(0), prefix - rare).cast("int")).where("open > 0")
-    lists = lists.select(F.col("rep").alias("id"), "n_shingles", F.explode(F.expr("slice(held, 1, open)")).alias("x")).select("x.key", "id", "n_shingles")
-    lists = scratch.keep(lists)
+    lists = held.withColumn("open", F.greatest(F.lit(0), F.floor(prefix) - rare).cast("int")).where("open > 0")
+    lists = lists.select(F.col("rep").alias("id"), "n_shingles", rare.alias("rare"), F.posexplode(F.expr("slice(held, 1, open)")).alias("i", "x"))
+    lists = scratch.keep(lists.select("x.key", "id", "n_shingles", (F.col("rare") + F.col("i") + 1).alias("place")))
     shared = lists.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    lists = scratch.keep(lists.join(shared, "key").select("key", "id", "n_shingles"))
+    lists = scratch.keep(lists.join(shared, "key"))
     wanted = lists.select("id").distinct()
     run, schema = _sets(width, None, "id")
     full = source.join(wanted, "id", "left_semi").mapInArrow(run, schema).select("id", "n_shingles", "vals")
@@ -90,17 +99,17 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.85, width: int = 5, id
     need = threshold - 1e-12
 
     def near(a: str, b: str):
-        return F.least(f"{a}n_shingles", f"{b}n_shingles") >= F.greatest(f"{a}n_shingles", f"{b}n_shingles") * need
+        na, nb = F.col(f"{a}n_shingles"), F.col(f"{b}n_shingles")
+        after = [F.least(n, F.lit(RETAINED)) - F.col(f"{x}place") + 1 for n, x in ((na, a), (nb, b))]
+        return (F.least(na, nb) >= F.greatest(na, nb) * need) & (F.least(*after) >= _shared(na, nb, threshold))
 
     def linked(a: str, b: str):
         la, lb = F.col(f"{a}vals"), F.col(f"{b}vals")
-        k = F.lit(RETAINED)
-        sa, sb = F.slice(la, 1, k), F.slice(lb, 1, k)
-        # Estimate on the sketch of the union: of its k smallest values, those in both.
-        estimate = F.size(F.array_intersect(sa, sb)) >= F.ceil(F.least(F.size(sa), F.size(sb)) * SHARED)
+        na, nb = F.col(f"{a}n_shingles"), F.col(f"{b}n_shingles")
+        # Estimate on the sketch of the union: of its smallest values, those in both.
+        estimate = F.size(F.array_intersect(F.slice(la, 1, RETAINED), F.slice(lb, 1, RETAINED))) >= _shared(na, nb, threshold)
         both = F.size(F.array_intersect(la, lb))
-        whole = F.col(f"{a}n_shingles") + F.col(f"{b}n_shingles") - both
-        return estimate & F.when(estimate, both >= whole * need).otherwise(False)
+        return estimate & F.when(estimate, both >= (na + nb - both) * need).otherwise(False)
 
     group = group_by_links(lists, full, linked, near, scratch)
     # Representative -> component; then every document through its own representative. An id with several texts
