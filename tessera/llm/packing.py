@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.scratch import Scratch, partitions
-from tessera.llm.token_bytes import Packed
+from tessera.llm.token_bytes import packed
 
 LENGTH, END, GRAIN = 2048, 1, 8
 _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())])
@@ -19,13 +19,13 @@ _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", p
 
 def _pieces(tokenizer: str, length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed = Packed(tokenizer)
+        words = packed(tokenizer)
         end = END.to_bytes(4, "little")
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
                 rows = []
-                for doc, ids in zip(batch.column(0).to_pylist(), packed.encode([x or "" for x in batch.column(1).to_pylist()]), strict=True):
+                for doc, ids in zip(batch.column(0).to_pylist(), words.encode([x or "" for x in batch.column(1).to_pylist()]), strict=True):
                     ids = memoryview(ids + end)
                     n = len(ids) // 4
                     rows += [(doc, s, min(length, n - s), zlib.crc32(ids[4 * s : 4 * (s + length)]), n) for s in range(0, n, length)]

@@ -7,10 +7,20 @@ import re
 
 import numpy as np
 
-#: Bytes of remembered words a Python worker holds at most, as a count of words.
-MEMORY = 300_000
+#: Words, and parts of words, that a Python worker remembers at most (some 200 bytes each).
+MEMORY, PARTS = 900_000, 500_000
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_ODD = re.compile(r"\s\s|^\s|\s$")
+_RARE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
+_SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def plain_blanks(text: str) -> bool:
+    """Whether each blank stands between two visible characters."""
+    if text[:1].isspace() or text[-1:].isspace() or "  " in text or "\n " in text or " \n" in text:
+        return False
+    if "\t" in text or "\r" in text:
+        return False
+    return not _RARE.search(text)
 
 
 class Packed(dict):
@@ -31,27 +41,52 @@ class Packed(dict):
         self.tokenizer.encode_special_tokens = True
         self.parts: dict[str, bytes] = {}
 
+    def _split(self, word: str) -> list[str]:
+        """The pattern's matches; letters after a blank are one, signs after them another."""
+        if word[1:].isalpha():
+            return [word]
+        head = word.rstrip(_SIGNS)
+        return [head, word[len(head) :]] if head[1:].isalpha() else self.find(word)
+
     def learn(self, words: set[str]) -> None:
         if len(self) > MEMORY:
             self.clear()
-        if len(self.parts) > MEMORY:
+        if len(self.parts) > PARTS:
             self.parts.clear()
-        new = [w for w in words if w not in self]
-        split = [self.find(w) for w in new]
-        fresh = list({p for ps in split for p in ps if p not in self.parts})
+        new = [(w, self._split(w)) for w in words if w not in self]
+        parts = self.parts
+        fresh = list({p for _, ps in new for p in ps if p not in parts})
         for at in range(0, len(fresh), 4096):
             some = fresh[at : at + 4096]
-            for part, got in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.parts[part] = np.array(got.ids, "<u4").tobytes()
-        part = self.parts.__getitem__
-        for word, ps in zip(new, split, strict=True):
-            self[word] = b"".join(map(part, ps))
+            ids = [x.ids for x in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            flat = np.array([i for x in ids for i in x], "<u4").tobytes()
+            place = 0
+            for part, got in zip(some, ids, strict=True):
+                past = place + 4 * len(got)
+                parts[part] = flat[place:past]
+                place = past
+        for word, ps in new:
+            self[word] = parts[ps[0]] if len(ps) == 1 else b"".join([parts[p] for p in ps])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
         pieces = []
         for text in texts:
-            cut = _CUT.split(text) if _ODD.search(text) else text.split(" ")
-            pieces.append([cut[0], *[" " + x for x in cut[1:]]])
-        self.learn({x for p in pieces for x in p})
+            cut = text.split(" ") if plain_blanks(text) else _CUT.split(text)
+            # The first piece has no blank before it.
+            pieces.append([cut[0], *map(" ".__add__, cut[1:])])
+        words: set[str] = set()
+        for p in pieces:
+            words.update(p)
+        self.learn(words)
         return [b"".join(map(self.__getitem__, p)) for p in pieces]
+
+
+_HELD: dict[str, Packed] = {}
+
+
+def packed(path: str) -> Packed:
+    """The words that this Python worker remembers for a tokenizer, over all its tasks."""
+    if path not in _HELD:
+        _HELD[path] = Packed(path)
+    return _HELD[path]
