@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.components import group_by_links
 from tessera.llm.scratch import Scratch, rename_clashes
-from tessera.llm.words import WordHashes, shingles, texts_of, word_numbers
+from tessera.llm.words import shingles, texts_of, word_numbers, worker_words
 
 #: Retained values of a document, and the standard errors that a share counted on them may fall short of the true one:
 #: a linked pair is lost less than once in 100,000. Documents with fewer shingles are retained whole, without error.
@@ -22,7 +22,7 @@ def _sets(width: int, retained: int | None, ids: str):
     schema = pa.schema([(ids, pa.int64()), ("n_shingles", pa.int64()), ("sum", pa.int64()), ("xor", pa.int64()), ("vals", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = WordHashes()
+        memory = worker_words()
         for batch in batches:
             sizes, sums, xors, vals = [], [], [], []
             for text in texts_of(batch.column(1)):

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tessera.llm.suffixes import suffix_array
 
 #: Words and parts of words that a Python worker remembers; slots of its table of piece pairs; bytes matched at once.
-MEMORY, SLOTS, AT_ONCE = 300_000, 1 << 21, 1 << 20
+MEMORY, SLOTS, AT_ONCE = 700_000, 1 << 21, 1 << 20
 BLANK = "▁"
 _HEAD, _BITS = 7, 9
 _UNIT = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")

@@ -22,6 +22,14 @@ class WordHashes(dict):
         return value
 
 
+_HELD = WordHashes()
+
+
+def worker_words() -> WordHashes:
+    """The words that this Python worker remembers, over all its tasks."""
+    return _HELD
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(33))
     x = x * _MIX[0]
