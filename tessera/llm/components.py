@@ -4,15 +4,54 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.scratch import Scratch, checksum, is_empty
 
 
+#: Distinct edges that one task joins by union-find; with more, steps over the whole cluster do.
+LOCAL = 100_000
+
+
+def _union_find(edge: DataFrame) -> DataFrame:
+    """``(id, component)`` of at most LOCAL edges ``(u, v)``, in one task."""
+    kind = edge.schema["u"].dataType.simpleString()
+
+    def run(batches):
+        parent: dict = {}
+
+        def find(x):
+            parent.setdefault(x, x)
+            while parent[x] != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        schema, struct = None, None
+        for batch in batches:
+            schema = batch.schema.field(0).type
+            struct = schema.names if pa.types.is_struct(schema) else None
+            for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if struct:
+                    u, v = (tuple(x[n] for n in struct) for x in (u, v))
+                a, b = find(u), find(v)
+                parent[max(a, b)] = min(a, b)
+        if parent:
+            ids = list(parent)
+            back = (lambda x: dict(zip(struct, x, strict=True))) if struct else (lambda x: x)
+            columns = [pa.array([back(x) for x in c], schema) for c in (ids, map(find, ids))]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "component"])
+
+    return edge.select("u", "v").coalesce(1).mapInArrow(run, f"id {kind}, component {kind}")
+
+
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """``(id, component)`` for every vertex of ``edges(a, b)``; the component is its smallest id.
 
+    Up to LOCAL distinct edges, counted first, are joined in one task; the result is the same either way.
+
     Alternates large-star and small-star steps until nothing changes. A step is a minimum per vertex, which Spark
     combines before it shuffles, joined back to the edges, so no vertex's neighbours are ever gathered in one row.
     Loops, repeated edges and nulls are ignored; no edges give no rows.
@@ -24,6 +63,8 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     )
     edge = scratch.keep(edge)
     state = edge.agg(F.count("*"), checksum("u", "v")).first()
+    if state[0] <= LOCAL:
+        return scratch.keep(_union_find(edge))
     while state[0]:
         both = edge.unionByName(edge.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -47,13 +88,17 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     )
 
 
+def group_is_kept(frame: DataFrame) -> bool:
+    return hasattr(frame, "_tessera_path")
+
+
 def group_by_links(
     members: DataFrame,
     payload: DataFrame,
     linked: Callable[[str, str], Column],
     near: Callable[[str, str], Column] | None,
     scratch: Scratch,
-    stars: int = 2,
+    stars: int = 1,
     check: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Components ``(id, component)`` of the graph that joins two ids if they share a key and ``linked`` holds.
@@ -103,5 +148,7 @@ def group_by_links(
         found = scratch.keep(verified(pairs))
         scratch.drop(pairs)
         links = found if links is None else links.unionByName(found)
-        group = scratch.keep(components(links, scratch))
+        group = components(links, scratch)
+        if not group_is_kept(group):
+            group = scratch.keep(group)
     return group if group is not None else members.select("id", F.col("id").alias("component")).where("false")

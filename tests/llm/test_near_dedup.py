@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from tessera.llm import near_dedup
 from tessera.llm.components import components
 from tessera.llm.scratch import Scratch
@@ -61,7 +63,12 @@ def test_empty(spark):
     assert near_dedup.near_duplicates(empty(spark)).count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("local", [0, 10**6])
+def test_components(spark, monkeypatch, local):
+    monkeypatch.setattr("tessera.llm.components.LOCAL", local)
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (7, 7), (50, 20), (None, 3)]
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "a long, b long"), Scratch(spark, "test")).collect()}
     assert all(got[i] == 0 for i in [*range(41), 50]) and got[102] == 100 and 7 in got and None not in got
+    pairs = spark.createDataFrame([((2, 1), (1, 9)), ((1, 9), (1, 2)), ((5, 5), (6, 6))], "a struct<h1: long, h2: long>, b struct<h1: long, h2: long>")
+    got = {tuple(r.id): tuple(r.component) for r in components(pairs, Scratch(spark, "test")).collect()}
+    assert got == {(2, 1): (1, 2), (1, 9): (1, 2), (1, 2): (1, 2), (5, 5): (5, 5), (6, 6): (5, 5)}
