@@ -94,7 +94,7 @@ def group_is_kept(frame: DataFrame) -> bool:
 
 def group_by_links(
     members: DataFrame,
-    payload: DataFrame,
+    payload: Callable[[DataFrame], DataFrame],
     linked: Callable[[str, str], Column],
     near: Callable[[str, str], Column] | None,
     scratch: Scratch,
@@ -103,8 +103,8 @@ def group_by_links(
 ) -> DataFrame:
     """Components ``(id, component)`` of the graph that joins two ids if they share a key and ``linked`` holds.
 
-    ``members(key, id, *small)`` are inverted lists, ``payload(id, *large)`` what a comparison needs. Columns reach
-    ``linked`` prefixed ``l_`` and ``r_``; ``near`` is a condition on the small columns alone, under the same names.
+    ``members(key, id, *small)`` are inverted lists; ``payload`` gives what a comparison needs, ``(id, *large)``, of the
+    ids of the pairs to compare, a kept table. Columns reach ``linked`` prefixed ``l_`` and ``r_``; ``near`` is a condition on the small columns alone, under the same names.
 
     Components need no all-pairs join. In each star round a list compares its members with one of them (the
     smallest id first, then others chosen by hash); lists whose members already share a component drop out. What
@@ -117,8 +117,10 @@ def group_by_links(
     group = None
 
     def verified(pairs: DataFrame) -> DataFrame:
-        left = payload.select(F.col("id").alias("a"), *[F.col(c).alias(f"l_{c}") for c in payload.columns if c != "id"])
-        right = payload.select(F.col("id").alias("b"), *[F.col(c).alias(f"r_{c}") for c in payload.columns if c != "id"])
+        ids = scratch.keep(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+        wide = scratch.keep(payload(ids))
+        left = wide.select(F.col("id").alias("a"), *[F.col(c).alias(f"l_{c}") for c in wide.columns if c != "id"])
+        right = wide.select(F.col("id").alias("b"), *[F.col(c).alias(f"r_{c}") for c in wide.columns if c != "id"])
         wide = pairs.join(right, "b").join(left, "a")
         good = check(wide) if check else wide.where(linked("l_", "r_"))
         return good.select("a", "b")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.components import group_by_links
-from tessera.llm.scratch import Scratch, rename_clashes
+from tessera.llm.scratch import Scratch, rename_clashes, small
 from tessera.llm.words import shingles, texts_of, word_numbers, worker_words
 
 #: Retained values of a document, and the standard errors that a share counted on them may fall short of the true one:
@@ -92,10 +92,11 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.85, width: int = 5, id
     lists = scratch.keep(lists.select("x.key", "id", "n_shingles", (F.col("rare") + F.col("i") + 1).alias("place")))
     shared = lists.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     lists = scratch.keep(lists.join(shared, "key"))
-    wanted = lists.select("id").distinct()
-    run, schema = _sets(width, None, "id")
-    full = source.join(wanted, "id", "left_semi").mapInArrow(run, schema).select("id", "n_shingles", "vals")
-    full = scratch.keep(full)
+    run_whole, whole_schema = _sets(width, None, "id")
+
+    def full(ids: DataFrame) -> DataFrame:
+        return source.join(small(ids), "id", "left_semi").mapInArrow(run_whole, whole_schema).select("id", "n_shingles", "vals")
+
     need = threshold - 1e-12
 
     def near(a: str, b: str):

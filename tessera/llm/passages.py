@@ -100,7 +100,7 @@ def _units(batch: pa.RecordBatch, bands: int, rows: int):
     return np.concatenate(ids), np.concatenate(places), np.concatenate(firsts).view(np.int64), np.concatenate(seconds).view(np.int64), np.concatenate(counts), lists
 
 
-def _sets(wanted: DataFrame, source: DataFrame) -> DataFrame:
+def _sets(per_doc: DataFrame, source: DataFrame) -> DataFrame:
     schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("vals", pa.list_(pa.int64()))])
 
     def run(batches):
@@ -112,7 +112,6 @@ def _sets(wanted: DataFrame, source: DataFrame) -> DataFrame:
                 rows += [(u["h1"], u["h2"], np.unique(shingles(numbers[starts[u["unit"]] : ends[u["unit"]]], WIDTH)).view(np.int64)) for u in units if u["unit"] < len(starts)]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else ([], [], []), schema.types, strict=True)], schema=schema)
 
-    per_doc = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("h1", "h2", "unit")).alias("units"))
     found = source.join(per_doc, "doc_id").select("text", "units").mapInArrow(run, "h1 long, h2 long, vals array<long>")
     return found.groupBy("h1", "h2").agg(F.min("vals").alias("vals")).select(F.struct("h1", "h2").alias("id"), "vals")
 
@@ -158,7 +157,7 @@ def dedup_passages(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
         both = F.size(F.array_intersect(f"{a}vals", f"{b}vals"))
         return both >= (F.size(f"{a}vals") + F.size(f"{b}vals") - both) * (similar - 1e-12)
 
-    gone = removals(units.drop("keys"), lambda _: lists(units), lambda wanted: _sets(wanted, source), scratch, linked=linked, near=None)
+    gone = removals(units.drop("keys"), lambda _: lists(units), lambda per_doc: _sets(per_doc, source), scratch, linked=linked, near=None)
     gone = gone.select(F.col("doc_id").alias("_doc"), F.col("gone").alias("_gone"))
     columns = [c for c in docs.columns if c != "removed"]
 

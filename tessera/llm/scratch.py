@@ -62,6 +62,19 @@ def is_empty(frame: DataFrame) -> bool:
     return not frame.limit(1).count()
 
 
+#: Numbers in a table that is sent to all executors at most: some 20 MB.
+SMALL = 500_000
+
+
+def small(frame: DataFrame, size=None) -> DataFrame:
+    """``frame`` marked for broadcast if it was counted to hold SMALL numbers at most; else as it is, to be shuffled.
+
+    ``size`` counts the numbers of a row, one by default. ``frame`` should be a kept table: it is read to count it.
+    """
+    n = frame.agg(F.sum(F.lit(1) if size is None else size)).first()[0] or 0
+    return F.broadcast(frame) if n <= SMALL else frame
+
+
 def rename_clashes(frame: DataFrame, names: list[str]) -> DataFrame:
     """Leave out columns of ``frame`` that an operator is about to add."""
     return frame.drop(*[n for n in names if n in frame.columns])

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.components import group_by_links
-from tessera.llm.scratch import Scratch
+from tessera.llm.scratch import Scratch, small
 from tessera.llm.words import mix
 
 _STEP = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
@@ -49,16 +49,21 @@ def removals(
     """``(doc_id, gone array<int>)``: the units of each document that repeat an earlier one.
 
     ``units(doc_id, unit, h1, h2, ...)`` is every unit. Equal hashes are one text; ``lists`` gives the inverted lists
-    ``(key, id struct<h1, h2>, ...)`` of the distinct texts and ``payload`` what comparing them needs. Of each
+    ``(key, id struct<h1, h2>, ...)`` of the distinct texts and ``payload`` what comparing some of them needs, from
+    ``(doc_id, units array<struct<h1, h2, unit>>)``. Of each
     connected group of texts the occurrence with the smallest document and place stays.
     """
     same = units.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "unit")).alias("first"), F.count("*").alias("n"))
     listed = scratch.keep(lists(units))
     shared = listed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key")
     listed = scratch.keep(listed.join(shared, "key").distinct())
-    ids = scratch.keep(listed.select("id").distinct())
-    wanted = ids.select("id.h1", "id.h2").join(same, ["h1", "h2"]).select("h1", "h2", "first.doc_id", "first.unit")
-    group = group_by_links(listed, scratch.keep(payload(wanted)), scratch=scratch, **link)
+
+    def of(ids: DataFrame) -> DataFrame:
+        wanted = same.join(ids.select("id.h1", "id.h2"), ["h1", "h2"]).select("h1", "h2", "first.doc_id", "first.unit")
+        per_doc = scratch.keep(wanted.groupBy("doc_id").agg(F.collect_list(F.struct("h1", "h2", "unit")).alias("units")))
+        return payload(small(per_doc, F.size("units") * 3))
+
+    group = group_by_links(listed, of, scratch=scratch, **link)
     group = group.select("id.h1", "id.h2", "component")
     joined = same.join(group, ["h1", "h2"], "left").where("n > 1 or component is not null")
     joined = joined.withColumn("component", F.coalesce("component", F.struct("h1", "h2")))
