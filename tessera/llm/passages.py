@@ -150,14 +150,13 @@ def dedup_passages(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     units = scratch.keep(source.mapInArrow(by_documents(lambda b: _units(b, bands, rows), schema), UNIT + ", keys array<long>"))
 
     def lists(units: DataFrame) -> DataFrame:
-        one = units.groupBy("h1", "h2").agg(F.first("n_words").alias("n_words"), F.first("keys").alias("keys"))
-        return one.select(F.explode("keys").alias("key"), F.struct("h1", "h2").alias("id"), "n_words")
+        return units.select(F.explode("keys").alias("key"), F.struct("h1", "h2").alias("id"), "n_words")
 
     def linked(a: str, b: str):
         both = F.size(F.array_intersect(f"{a}vals", f"{b}vals"))
         return both >= (F.size(f"{a}vals") + F.size(f"{b}vals") - both) * (similar - 1e-12)
 
-    gone = removals(units.drop("keys"), lambda _: lists(units), lambda per_doc: _sets(per_doc, source), scratch, linked=linked, near=None)
+    gone = removals(units, lists, lambda per_doc: _sets(per_doc, source), scratch, linked=linked, near=None)
     gone = gone.select(F.col("doc_id").alias("_doc"), F.col("gone").alias("_gone"))
     columns = [c for c in docs.columns if c != "removed"]
 

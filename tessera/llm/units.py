@@ -49,26 +49,34 @@ def removals(
     """``(doc_id, gone array<int>)``: the units of each document that repeat an earlier one.
 
     ``units(doc_id, unit, h1, h2, ...)`` is every unit. Equal hashes are one text; ``lists`` gives the inverted lists
-    ``(key, id struct<h1, h2>, ...)`` of the distinct texts and ``payload`` what comparing some of them needs, from
+    ``(key, id struct<h1, h2>, ...)`` of the units and ``payload`` what comparing some of them needs, from
     ``(doc_id, units array<struct<h1, h2, unit>>)``. Of each
     connected group of texts the occurrence with the smallest document and place stays.
     """
-    same = units.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "unit")).alias("first"), F.count("*").alias("n"))
-    listed = scratch.keep(lists(units))
+    first = F.min(F.struct("doc_id", "unit")).alias("first")
+    twice = scratch.keep(units.groupBy("h1", "h2").agg(first, F.count("*").alias("n")).where("n > 1"))
+    # A key of one unit alone links nothing: numbers of units are counted by key before anything else moves.
+    keyed = lists(units)
+    several = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    listed = scratch.keep(keyed.join(several, "key").distinct())
     shared = listed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key")
-    listed = scratch.keep(listed.join(shared, "key").distinct())
+    listed = scratch.keep(listed.join(shared, "key"))
+
+    def firsts(ids: DataFrame) -> DataFrame:
+        some = small(ids, F.lit(2))
+        return units.select("doc_id", "unit", "h1", "h2").join(some, ["h1", "h2"]).groupBy("h1", "h2").agg(first, F.count("*").alias("n"))
 
     def of(ids: DataFrame) -> DataFrame:
-        wanted = same.join(ids.select("id.h1", "id.h2"), ["h1", "h2"]).select("h1", "h2", "first.doc_id", "first.unit")
+        wanted = firsts(ids.select("id.h1", "id.h2")).select("h1", "h2", "first.doc_id", "first.unit")
         per_doc = scratch.keep(wanted.groupBy("doc_id").agg(F.collect_list(F.struct("h1", "h2", "unit")).alias("units")))
         return payload(small(per_doc, F.size("units") * 3))
 
     group = group_by_links(listed, of, scratch=scratch, **link)
-    group = group.select("id.h1", "id.h2", "component")
-    joined = same.join(group, ["h1", "h2"], "left").where("n > 1 or component is not null")
-    joined = joined.withColumn("component", F.coalesce("component", F.struct("h1", "h2")))
-    joined = scratch.keep(joined)
+    group = scratch.keep(group.select("id.h1", "id.h2", "component"))
+    linked = firsts(group.select("h1", "h2")).join(group, ["h1", "h2"])
+    alone = twice.join(group, ["h1", "h2"], "left_anti").withColumn("component", F.struct("h1", "h2"))
+    joined = scratch.keep(linked.select("h1", "h2", "first", "component").unionByName(alone.select("h1", "h2", "first", "component")))
     keep = joined.groupBy("component").agg(F.min("first").alias("keep"))
     marked = scratch.keep(joined.join(keep, "component").select("h1", "h2", "keep"))
-    gone = units.select("doc_id", "unit", "h1", "h2").join(marked, ["h1", "h2"]).where("doc_id <> keep.doc_id or unit <> keep.unit")
+    gone = units.select("doc_id", "unit", "h1", "h2").join(small(marked, F.lit(4)), ["h1", "h2"]).where("doc_id <> keep.doc_id or unit <> keep.unit")
     return gone.groupBy("doc_id").agg(F.sort_array(F.collect_set("unit")).alias("gone"))
