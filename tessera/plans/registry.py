@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from tessera.plans import kernel, measures, points, resolves, scalars, selections, streams, supplies
+from tessera.plans import kernel, measures, points, reports, resolves, scalars, selections, streams, supplies
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-for _module in (resolves, supplies, measures, selections, points, scalars, kernel, streams):
+for _module in (resolves, supplies, measures, selections, points, reports, scalars, kernel, streams):
     QUERIES |= _module.QUERIES
     ORACLES |= _module.ORACLES
 FLAGSHIP = "target_deficit"

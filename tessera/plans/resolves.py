@@ -44,38 +44,38 @@ def precedence_anti(spark, d):
     return R.without(table(spark, d, "documents").select("doc_id", "lang", "source"), table(spark, d, "labels"), ["doc_id"])
 
 
-_SNAP = "select user_id, event_type, count(*) as n, round(sum(value), 2) as total from events where event_id % {m} <> 0 group by 1, 2"
+_SNAP = "select user_id, event_type, count(*) as n, round(sum(value), 2) as total from events where value > {m} group by 1, 2"
 
 
 @query(f"""
-with a as ({_SNAP.format(m=7)}), b as ({_SNAP.format(m=5)})
+with a as ({_SNAP.format(m=20)}), b as ({_SNAP.format(m=5)})
 select b.user_id, b.event_type, case when a.user_id is null then 'fresh' when a.n = b.n then 'unchanged' else 'revised' end as change
 from b left join a using (user_id, event_type)""")
 def cdc_classify(spark, d):
     def snapshot(m):
-        return table(spark, d, "events").where(f"event_id % {m} <> 0").groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
+        return table(spark, d, "events").where(f"value > {m}").groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
 
-    return R.change_class(snapshot(7), snapshot(5), ["user_id", "event_type"], ["n"])
+    return R.change_class(snapshot(20), snapshot(5), ["user_id", "event_type"], ["n"])
 
 
 @query("""
-with o as (select c_custkey, c_name, c_acctbal, c_mktsegment as note from customer where c_custkey % 3 <> 0),
-n as (select c_custkey, c_name, c_acctbal + 1 as c_acctbal, case when c_custkey % 2 = 0 then 'new' end as note from customer where c_custkey % 2 = 0 or c_custkey % 5 = 0)
+with o as (select c_custkey, c_name, c_acctbal, c_mktsegment as note from customer where c_acctbal < 6000),
+n as (select c_custkey, c_name, c_acctbal + 1 as c_acctbal, case when c_custkey % 2 = 0 then 'new' end as note from customer where c_acctbal > 0)
 select c_custkey, coalesce(n.c_name, o.c_name) as c_name, coalesce(n.c_acctbal, o.c_acctbal) as c_acctbal, coalesce(n.note, o.note) as note
 from o full join n using (c_custkey)""")
 def upsert_carry(spark, d):
     c = table(spark, d, "customer")
-    old = c.where("c_custkey % 3 <> 0").select("c_custkey", "c_name", "c_acctbal", F.col("c_mktsegment").alias("note"))
-    new = c.where("c_custkey % 2 = 0 or c_custkey % 5 = 0").select("c_custkey", "c_name", (F.col("c_acctbal") + 1).alias("c_acctbal"), F.when(F.col("c_custkey") % 2 == 0, "new").alias("note"))
+    old = c.where("c_acctbal < 6000").select("c_custkey", "c_name", "c_acctbal", F.col("c_mktsegment").alias("note"))
+    new = c.where("c_acctbal > 0").select("c_custkey", "c_name", (F.col("c_acctbal") + 1).alias("c_acctbal"), F.when(F.col("c_custkey") % 2 == 0, "new").alias("note"))
     return R.upsert(old, new, ["c_custkey"], ["note"])
 
 
 @query("""
-select s_suppkey, s_nationkey, s_acctbal from supplier where s_nationkey not in (select distinct s_nationkey from supplier where s_suppkey % 4 = 0)
-union all select s_suppkey, s_nationkey, 0.0::double from supplier where s_suppkey % 4 = 0""")
+select s_suppkey, s_nationkey, s_acctbal from supplier where s_nationkey not in (select distinct s_nationkey from supplier where s_acctbal < 0)
+union all select s_suppkey, s_nationkey, 0.0::double from supplier where s_acctbal < 0""")
 def scoped_replace(spark, d):
     s = table(spark, d, "supplier").select("s_suppkey", "s_nationkey", "s_acctbal")
-    return R.replace_scope(s, s.where("s_suppkey % 4 = 0").withColumn("s_acctbal", F.lit(0.0)), ["s_nationkey"])
+    return R.replace_scope(s, s.where("s_acctbal < 0").withColumn("s_acctbal", F.lit(0.0)), ["s_nationkey"])
 
 
 @query("""
@@ -87,20 +87,20 @@ def registry_latest(spark, d):
 
 
 @query("""
-with reg as (select n_nationkey, n_regionkey = 1 as eval_only, n_regionkey % 2 = 0 as plain, n_regionkey = 2 as anchored from nation where n_nationkey % 5 <> 0)
+with reg as (select n_nationkey, n_regionkey = 1 as eval_only, n_regionkey % 2 = 0 as plain, n_regionkey = 2 as anchored from nation where n_regionkey <> 3)
 select c_custkey, coalesce(eval_only or (plain and not anchored), false) as eligible from customer left join reg on c_nationkey = n_nationkey""")
 def registry_eligible(spark, d):
-    reg = table(spark, d, "nation").where("n_nationkey % 5 <> 0").select(F.col("n_nationkey").alias("c_nationkey"), (F.col("n_regionkey") == 1).alias("eval_only"), (F.col("n_regionkey") % 2 == 0).alias("plain"), (F.col("n_regionkey") == 2).alias("anchored"))
+    reg = table(spark, d, "nation").where("n_regionkey <> 3").select(F.col("n_nationkey").alias("c_nationkey"), (F.col("n_regionkey") == 1).alias("eval_only"), (F.col("n_regionkey") % 2 == 0).alias("plain"), (F.col("n_regionkey") == 2).alias("anchored"))
     rows = table(spark, d, "customer").join(reg, "c_nationkey", "left")
     return rows.select("c_custkey", F.coalesce(F.col("eval_only") | (F.col("plain") & ~F.col("anchored")), F.lit(False)).alias("eligible"))
 
 
 @query("""
-with a as (select distinct o_custkey as k from orders where o_orderkey % 2 = 0), b as (select distinct o_custkey as k from orders where o_orderkey % 3 = 0)
+with a as (select distinct o_custkey as k from orders where o_orderstatus = 'F'), b as (select distinct o_custkey as k from orders where o_orderstatus = 'O')
 select k as custkey, case when a.k is null then 'gained' when b.k is null then 'lost' else 'kept' end as state from a full join b using (k)""")
 def compare_populations(spark, d):
-    o = table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("custkey"))
-    return R.compared(o.where("o_orderkey % 2 = 0"), o.where("o_orderkey % 3 = 0"), ["custkey"])
+    o = table(spark, d, "orders").select("o_orderstatus", F.col("o_custkey").alias("custkey"))
+    return R.compared(o.where("o_orderstatus = 'F'"), o.where("o_orderstatus = 'O'"), ["custkey"])
 
 
 @query("""
@@ -125,9 +125,9 @@ def cuts_and_bands(spark, d):
 
 @query("""
 select o_orderkey, case when o_orderstatus = 'F' and o_totalprice > 1000 then 'killed' when o_orderstatus = 'F' then 'released' else 'passed_over' end as verdict,
-  case when o_totalprice > 1000 then 'over' end as rejected from orders where o_orderkey % 4 = 0""")
+  case when o_totalprice > 1000 then 'over' end as rejected from orders""")
 def retroactive_rejection(spark, d):
-    o = table(spark, d, "orders").where("o_orderkey % 4 = 0")
+    o = table(spark, d, "orders")
     block = o.where("o_totalprice > 1000").select("o_orderkey", F.lit("over").alias("rejected"))
     both = o.join(block, "o_orderkey", "left")
     verdict = F.when((F.col("o_orderstatus") == "F") & F.col("rejected").isNotNull(), "killed").when(F.col("o_orderstatus") == "F", "released").otherwise("passed_over")
