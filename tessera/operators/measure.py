@@ -23,10 +23,16 @@ def auc(rows: DataFrame, score: str, label: str, by: list[str] | None = None) ->
 
 
 def average_precision(rows: DataFrame, score: str, label: str, tie: str) -> DataFrame:
-    """Mean precision at the hits in falling score; ties keep the order of ``tie``; null without hits."""
-    w = Window.partitionBy().orderBy(F.desc(score), tie)
-    s = rows.withColumn("_i", F.row_number().over(w)).withColumn("_h", F.sum(label).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return s.agg(F.avg(F.when(F.col(label) == 1, F.col("_h") / F.col("_i"))).alias("average_precision"))
+    """Mean precision at the hits in falling score (0 to 1); ties keep the order of ``tie``; null without hits.
+
+    Scores fall into 4,096 bands. Rows are counted within a band; bands add their totals."""
+    cut = rows.withColumn("_b", -F.floor(F.col(score) * 4096))
+    before = Window.partitionBy().orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    band = cut.groupBy("_b").agg(F.count("*").alias("_n"), F.sum(label).alias("_p"))
+    band = band.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_rows"), F.coalesce(F.sum("_p").over(before), F.lit(0)).alias("_hits"))
+    w = Window.partitionBy("_b").orderBy(F.desc(score), tie)
+    s = cut.withColumn("_i", F.row_number().over(w)).withColumn("_h", F.sum(label).over(w.rowsBetween(Window.unboundedPreceding, 0))).join(band, "_b")
+    return s.agg(F.avg(F.when(F.col(label) == 1, (F.col("_h") + F.col("_hits")) / (F.col("_i") + F.col("_rows")))).alias("average_precision"))
 
 
 def log_loss(p: Column, t: Column, least: float = 1e-7) -> Column:

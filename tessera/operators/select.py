@@ -11,6 +11,19 @@ def hashed(seed: int, *key: str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]))
 
 
+def placed(rows: DataFrame, coarse: Column, order: list) -> DataFrame:
+    """``rows`` with ``place``, their number from 1 in the order of ``coarse`` and then of ``order``.
+
+    No task sees all rows: those of one coarse value are numbered among themselves, and only the counts of the coarse
+    values are summed up in order. ``coarse`` is never null and has few values, or few rows each.
+    """
+    cut = rows.withColumn("_c", coarse)
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy().orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offset = cut.groupBy("_c").agg(F.count("*").alias("_n")).withColumn("_before", before).select("_c", "_before")
+    own = F.row_number().over(Window.partitionBy("_c").orderBy(*order))
+    return cut.join(offset, "_c").withColumn("place", (F.col("_before") + own).cast("int")).drop("_c", "_before")
+
+
 def best_first(part: list[str], score: str, key: str) -> Column:
     return F.row_number().over(Window.partitionBy(*part).orderBy(F.coalesce(score, F.lit(-1.0)).desc(), key))
 
@@ -28,8 +41,7 @@ def capped_top(rows: DataFrame, part: str, group: str, score: str, key: str, slo
 def interleaved(rows: DataFrame, part: str, head: str, score: str, key: str) -> DataFrame:
     """A listing that takes each cell's best, then each cell's second, and so on; null scores last."""
     cell = Window.partitionBy(part, head).orderBy(F.col(score).desc_nulls_last(), key)
-    ranked = rows.withColumn("rank", F.row_number().over(cell))
-    return ranked.withColumn("place", F.row_number().over(Window.partitionBy().orderBy("rank", part, head, key)))
+    return placed(rows.withColumn("rank", F.row_number().over(cell)), F.col("rank"), [part, head, key])
 
 
 def fill_reason(below_bar: Column, capped: Column, filled: Column, budget: Column) -> Column:
@@ -39,9 +51,8 @@ def fill_reason(below_bar: Column, capped: Column, filled: Column, budget: Colum
 def stratified(rows: DataFrame, cells: list[str], key: str, n: int, seed: int) -> DataFrame:
     """``n`` rows dealt to the cells in turns, each cell in shuffled order; small cells give all, the rest is offered again."""
     own = Window.partitionBy(*cells).orderBy(hashed(seed, key), key)
-    turn = rows.withColumn("_turn", F.row_number().over(own))
-    place = F.row_number().over(Window.partitionBy().orderBy("_turn", *cells, key))
-    return turn.where(F.col("_turn") <= n).withColumn("place", place).where(F.col("place") <= n).drop("_turn")
+    turn = rows.withColumn("_turn", F.row_number().over(own)).where(F.col("_turn") <= n)
+    return placed(turn, F.col("_turn"), [*cells, key]).where(F.col("place") <= n).drop("_turn")
 
 
 def group_split(rows: DataFrame, group: str, eligible: str, pinned: str, share: float, seed: int) -> DataFrame:
@@ -68,12 +79,13 @@ def two_to_one(first: DataFrame, second: DataFrame, order: str) -> DataFrame:
     both = first.withColumn("channel", F.lit(0)).unionByName(second.withColumn("channel", F.lit(1)))
     both = both.withColumn("_i", F.row_number().over(w) - 1)
     turn = F.when(F.col("channel") == 0, F.floor(F.col("_i") / 2) * 3 + F.col("_i") % 2).otherwise(F.col("_i") * 3 + 2)
-    return both.withColumn("place", F.row_number().over(Window.partitionBy().orderBy(turn, "channel", "_i"))).drop("_i")
+    both = both.withColumn("_turn", turn)
+    return placed(both, F.floor(F.col("_turn") / 3), ["_turn", "channel", "_i"]).drop("_i", "_turn")
 
 
 def period_round_robin(rows: DataFrame, period: str, margin: str, key: str) -> DataFrame:
     own = Window.partitionBy(period).orderBy(F.desc(margin), key)
-    return rows.withColumn("rank", F.row_number().over(own)).withColumn("place", F.row_number().over(Window.partitionBy().orderBy("rank", period, key)))
+    return placed(rows.withColumn("rank", F.row_number().over(own)), F.col("rank"), [period, key])
 
 
 def middle_run(rows: DataFrame, by: list[str], stat: str, key: str) -> DataFrame:

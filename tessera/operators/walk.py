@@ -11,14 +11,15 @@ from tessera.operators.select import hashed
 def batch_pop(frontier: DataFrame, priority: str, key: str, floors: dict[str, int], size: int) -> DataFrame:
     """``size`` nodes: first those that reserved floors, conditions with a least number, pick by priority, then the best
     of the rest."""
-    best = Window.partitionBy()
-    out = frontier.withColumn("_reserved", F.lit(False))
+    whole = F.struct(*frontier.columns)
+    best = [F.desc(priority), F.col(key)]
+    picked = frontier.orderBy(*best).limit(size).select(whole.alias("_r"), F.lit(False).alias("_reserved"))
     for condition, least in floors.items():
-        hit = F.expr(condition)
-        rank = F.row_number().over(Window.partitionBy(hit).orderBy(F.desc(priority), key))
-        out = out.withColumn("_reserved", F.col("_reserved") | (hit & (rank <= least)))
-    place = F.row_number().over(best.orderBy(F.desc("_reserved"), F.desc(priority), key))
-    return out.withColumn("place", place).where(F.col("place") <= size).drop("_reserved")
+        picked = picked.unionByName(frontier.where(condition).orderBy(*best).limit(least).select(whole.alias("_r"), F.lit(True).alias("_reserved")))
+    once = picked.groupBy("_r").agg(F.some("_reserved").alias("_reserved")).select("_r.*", "_reserved")
+    # At most ``size`` and the floors' rows are left to number.
+    place = F.row_number().over(Window.partitionBy().orderBy(F.desc("_reserved"), *best))
+    return once.withColumn("place", place).where(F.col("place") <= size).drop("_reserved")
 
 
 def evicted(frontier: DataFrame, expansions: DataFrame, root: str, cap: int) -> DataFrame:

@@ -135,8 +135,8 @@ select vec_id, round(min(g), 6) as distance from p group by vec_id""")
 def nearest_accepted(spark, d):
     e = table(spark, d, "embeddings")
     accepted = e.where("label = 0").select(F.col("vec_id").alias("other"), F.col("embedding").alias("x"))
-    # The accepted set is a catalogue of bounded size.
-    pairs = e.join(F.broadcast(accepted)).where("vec_id <> other")
+    # All rows against the accepted ones is what the operator is; Spark broadcasts them where they are small.
+    pairs = e.crossJoin(accepted).where("vec_id <> other")
     return pairs.groupBy("vec_id").agg(F.round(F.min(distance(F.col("embedding"), F.col("x"))), 6).alias("distance"))
 
 
