@@ -62,10 +62,5 @@ def is_empty(frame: DataFrame) -> bool:
     return not frame.limit(1).count()
 
 
-def rename_clashes(frame: DataFrame, names: list[str]) -> DataFrame:
-    """Leave out columns of ``frame`` that an operator is about to add."""
-    return frame.drop(*[n for n in names if n in frame.columns])
-
-
 def checksum(*cols: str):
     return F.bit_xor(F.xxhash64(*cols))

@@ -9,7 +9,11 @@ from tessera.operators.scratch import Scratch, checksum
 
 
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """``(id, component)`` by the smallest reachable id; loops and nulls ignored."""
+    """``(id, component)`` for every vertex of ``edges(a, b)``, the smallest id reachable; loops and nulls are ignored.
+
+    Alternates large-star and small-star steps until nothing changes. A step is a minimum per vertex, which Spark
+    combines before it shuffles, joined back to the edges, so no vertex's neighbours are ever gathered in one row.
+    """
     edge = scratch.keep(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct())
     state = tuple(edge.agg(F.count("*"), checksum("u", "v")).first())
     while state[0]:
@@ -20,6 +24,7 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         after = scratch.keep(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         now = tuple(after.agg(F.count("*"), checksum("u", "v")).first())
+        scratch.drop(edge)
         done, edge, state = now == state, after, now
         if done:
             break
