@@ -8,7 +8,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.scratch import Scratch, checksum, is_empty
+from tessera.llm.scratch import Scratch, is_empty
+from tessera.operators.spatial import components as star_components
 
 
 #: Distinct edges that one task joins by union-find; with more, steps over the whole cluster do.
@@ -62,30 +63,9 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         .distinct()
     )
     edge = scratch.keep(edge)
-    state = edge.agg(F.count("*"), checksum("u", "v")).first()
-    if state[0] <= LOCAL:
+    if edge.count() <= LOCAL:
         return scratch.keep(_union_find(edge))
-    while state[0]:
-        both = edge.unionByName(edge.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            large.join(low, "u")
-            .where("v <> m")
-            .select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(low.select("u", F.col("m").alias("v")))
-            .distinct()
-        )
-        after = scratch.keep(small)
-        scratch.drop(edge)
-        edge, before = after, state
-        state = edge.agg(F.count("*"), checksum("u", "v")).first()
-        if tuple(state) == tuple(before):
-            break
-    return edge.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
-        edge.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
-    )
+    return star_components(edge.select(F.col("u").alias("a"), F.col("v").alias("b")), scratch)
 
 
 def group_is_kept(frame: DataFrame) -> bool:

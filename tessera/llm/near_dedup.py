@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.components import group_by_links
-from tessera.llm.scratch import Scratch, rename_clashes, small
+from tessera.llm.components import components, group_by_links
+from tessera.llm.scratch import Scratch, small
 from tessera.llm.words import shingles, texts_of, word_numbers, worker_words
 
 #: Retained values of a document, and the standard errors that a share counted on them may fall short of the true one:
@@ -122,17 +122,11 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.85, width: int = 5, id
     out = scratch.keep(out.select("id", "n_shingles", F.coalesce("component", "id").alias("component_id")))
     if twice.limit(1).count():
         edges = out.join(twice.select("id"), "id", "left_semi").select(F.col("id").alias("a"), F.col("component_id").alias("b"))
-        joined = scratch.keep(components_of(edges.unionByName(out.select(F.col("id").alias("a"), F.col("component_id").alias("b"))), scratch))
+        joined = scratch.keep(components(edges.unionByName(out.select(F.col("id").alias("a"), F.col("component_id").alias("b"))), scratch))
         out = out.drop("component_id").join(joined, "id", "left").select("id", "n_shingles", F.coalesce("component", "id").alias("component_id"))
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def components_of(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    from tessera.llm.components import components
-
-    return components(edges, scratch)
-
-
 def drop_near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5) -> DataFrame:
     """``docs`` with one document of each near-duplicate group: the one with the smallest ``doc_id``; rows without
     an id and rows that repeat the kept id stay. Same columns."""
@@ -141,4 +135,4 @@ def drop_near_duplicates(docs: DataFrame, threshold: float = 0.8, width: int = 5
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return near_duplicates(rename_clashes(spark.read.parquet(f"{sf_dir}/documents.parquet"), []))
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))

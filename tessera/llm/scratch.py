@@ -1,66 +1,13 @@
-"""Written tables in the folder that the whole cluster shares: they cut lineage and survive lost executors."""
+"""Written tables in the folder that the whole cluster shares, and sides small enough to send to all."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.scratch import Scratch, is_empty, partitions, shared_folder
 
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a local folder only where none is set, as in tests."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="tessera-checkpoints-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
-class Scratch:
-    """Tables of one run, under a folder of its own; ``drop`` removes those that no later step reads."""
-
-    def __init__(self, spark: SparkSession, label: str):
-        self.spark = spark
-        self.root = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-        self._made = 0
-        atexit.register(self._clear)
-
-    def keep(self, frame: DataFrame) -> DataFrame:
-        """Write ``frame`` and read it back with the same schema."""
-        self._made += 1
-        path = f"{self.root}/{self._made}"
-        frame.write.mode("overwrite").parquet(path)
-        read = self.spark.read.schema(frame.schema).parquet(path)
-        read._tessera_path = path
-        return read
-
-    def drop(self, *frames: DataFrame) -> None:
-        for frame in frames:
-            self._delete(getattr(frame, "_tessera_path", None))
-
-    def _delete(self, path: str | None) -> None:
-        if path:
-            jvm = self.spark._jvm
-            target = jvm.org.apache.hadoop.fs.Path(path)
-            target.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(target, True)
-
-    def _clear(self) -> None:
-        try:
-            self._delete(self.root)
-        except Exception:  # noqa: BLE001  the session, and with it the file system client, may have ended
-            pass
-
-
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def is_empty(frame: DataFrame) -> bool:
-    return not frame.limit(1).count()
-
+__all__ = ["Scratch", "is_empty", "partitions", "shared_folder", "small"]
 
 #: Numbers in a table that is sent to all executors at most: some 20 MB.
 SMALL = 500_000
@@ -73,12 +20,3 @@ def small(frame: DataFrame, size=None) -> DataFrame:
     """
     n = frame.agg(F.sum(F.lit(1) if size is None else size)).first()[0] or 0
     return F.broadcast(frame) if n <= SMALL else frame
-
-
-def rename_clashes(frame: DataFrame, names: list[str]) -> DataFrame:
-    """Leave out columns of ``frame`` that an operator is about to add."""
-    return frame.drop(*[n for n in names if n in frame.columns])
-
-
-def checksum(*cols: str):
-    return F.bit_xor(F.xxhash64(*cols))
