@@ -11,13 +11,12 @@ from pyspark.sql import functions as F
 
 from tessera.llm.scratch import Scratch
 from tessera.llm.units import UNIT, by_documents, removals, sequence_hashes
-from tessera.llm.words import WordHashes, mix, shingles, texts_of, word_numbers
+from tessera.llm.words import mix, shingles, texts_of, word_numbers, worker_words
 
 #: Words of a shingle; similarity of linked paragraphs; fewest words of one; words to either side that a cut inside a
 #: long paragraph has a smaller hash than; longest paragraph that is never cut.
 WIDTH, SIMILAR, MIN_WORDS, REACH, WHOLE = 5, 0.8, 8, 7, 24
 RECALL = 0.99
-_MEMORY = WordHashes()
 
 
 def tune(similar: float = SIMILAR, recall: float = RECALL, most: int = 64, rows: int = 1) -> tuple[int, int]:
@@ -55,7 +54,7 @@ def _parts(text: bytes) -> tuple[np.ndarray, np.ndarray]:
         got = one.split()
         words += got
         sizes.append(len(got))
-    numbers = word_numbers(words, _MEMORY)
+    numbers = word_numbers(words, worker_words())
     return numbers, cuts(numbers, np.repeat(np.arange(len(sizes)), sizes))
 
 

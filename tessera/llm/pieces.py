@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.suffixes import suffix_array
+from tessera.llm.words import held
 
 #: Words and parts of words that a Python worker remembers; slots of its table of piece pairs; bytes matched at once.
-MEMORY, SLOTS, AT_ONCE = 700_000, 1 << 21, 1 << 20
+MEMORY, SLOTS, AT_ONCE = 500_000, 1 << 21, 1 << 20
 BLANK = "▁"
 _HEAD, _BITS = 7, 9
 _UNIT = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
@@ -272,10 +273,8 @@ class Encoder(dict):
         return raw.decode("utf-8", "replace")
 
 
-def _encoder(path: str, held: dict = {}) -> Encoder:  # noqa: B006  one for each worker and model
-    if path not in held:
-        held[path] = Encoder(Pieces(path))
-    return held[path]
+def _encoder(path: str) -> Encoder:
+    return held(f"pieces {path}", lambda: Encoder(Pieces(path)))
 
 
 def _model(path: str | None) -> str:

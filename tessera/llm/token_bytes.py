@@ -7,8 +7,10 @@ import re
 
 import numpy as np
 
+from tessera.llm.words import held
+
 #: Words, and parts of words, that a Python worker remembers at most (some 200 bytes each).
-MEMORY, PARTS = 900_000, 500_000
+MEMORY, PARTS = 600_000, 400_000
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _RARE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 _SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -82,11 +84,5 @@ class Packed(dict):
         return [b"".join(map(self.__getitem__, p)) for p in pieces]
 
 
-_HELD: dict[str, Packed] = {}
-
-
 def packed(path: str) -> Packed:
-    """The words that this Python worker remembers for a tokenizer, over all its tasks."""
-    if path not in _HELD:
-        _HELD[path] = Packed(path)
-    return _HELD[path]
+    return held(f"packed {path}", lambda: Packed(path))

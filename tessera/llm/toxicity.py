@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.scratch import Scratch
-from tessera.llm.words import MEMORY, texts_of
+from tessera.llm.words import MEMORY, held
 
 #: Labelled documents that the fit uses at most (expected; drawn by hash), and buckets of the word table.
 FIT_ROWS, BUCKETS = 60_000, 1 << 19
@@ -107,7 +107,7 @@ def _count():
     schema = pa.schema([("bucket", pa.int64()), ("toxic", pa.int64()), ("clean", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, seen = Buckets(), np.zeros((2, BUCKETS), np.int64)
+        memory, seen = worker_buckets(), np.zeros((2, BUCKETS), np.int64)
         for batch in batches:
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 # A word counts once per document: long documents don't outvote the others.
@@ -122,7 +122,7 @@ def _measure(weight: np.ndarray, root: float):
     schema = pa.schema([("label", pa.int64()), *[(c, pa.float64()) for c in "xyz"]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = Buckets()
+        memory = worker_buckets()
         for batch in batches:
             got = [_features(_tokens(t or "", memory), weight, root) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(1), *[pa.array(c, pa.float64()) for c in zip(*got, strict=True)]], schema=schema)
@@ -201,7 +201,7 @@ def toxic_scores(docs: DataFrame, model: Model) -> DataFrame:
         import pandas as pd
 
         own = table.value
-        memory = measure_memory()
+        memory = worker_buckets()
         score, passages = [], []
         for text in texts:
             ids = _tokens(text or "", memory)
@@ -214,11 +214,8 @@ def toxic_scores(docs: DataFrame, model: Model) -> DataFrame:
     return out.select(*kept, F.col("_got.score").alias("score"), (F.col("_got.score") >= 0.5).cast("int").alias("predicted"), F.col("_got.segments").alias("segments"))
 
 
-_MEMORY = Buckets()
-
-
-def measure_memory() -> Buckets:
-    return _MEMORY
+def worker_buckets() -> Buckets:
+    return held("buckets", Buckets)
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -22,12 +24,20 @@ class WordHashes(dict):
         return value
 
 
-_HELD = WordHashes()
+_HELD: dict = {}
+
+
+def held(name: str, make: Callable):
+    """What this Python worker remembers for one operator, over all its tasks. Another operator's memory goes first, so
+    a worker that serves many holds one at a time."""
+    if name not in _HELD:
+        _HELD.clear()
+        _HELD[name] = make()
+    return _HELD[name]
 
 
 def worker_words() -> WordHashes:
-    """The words that this Python worker remembers, over all its tasks."""
-    return _HELD
+    return held("words", WordHashes)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

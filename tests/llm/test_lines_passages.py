@@ -37,7 +37,7 @@ def brute_lines(data):
     keys = list(spots)
     sims = {}
     for key in keys:
-        numbers = np.fromiter(map(lines._MEMORY.__getitem__, key.split()), np.uint64)
+        numbers = np.fromiter(map(lines._Words().__getitem__, key.split()), np.uint64)
         sims[key] = int.from_bytes(lines.simhash(numbers, np.array([0])).tobytes(), "little")
     group = {k: k for k in keys}
 
