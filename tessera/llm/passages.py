@@ -27,76 +27,72 @@ def tune(similar: float = SIMILAR, recall: float = RECALL, most: int = 64, rows:
     raise ValueError(f"{most} bands of {rows} don't reach a recall of {recall}")
 
 
-def cuts(numbers: np.ndarray, line: np.ndarray) -> np.ndarray:
-    """First positions of the paragraphs of one text, given its words' hashes and the line each is in.
+def cuts(numbers: np.ndarray, line: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """First positions of the paragraphs of some texts, given their words' hashes and the line and text each is in.
 
     A line is a paragraph. One of more than WHOLE words is cut before each word whose pair with the word before it
-    has a smaller hash than all pairs within REACH words, so a passage is cut alike wherever it stands.
+    has a smaller hash than all pairs within REACH words of its text, so a passage is cut alike wherever it stands.
     """
     n = len(numbers)
     if not n:
         return np.zeros(0, np.int64)
+    top = np.iinfo(np.uint64).max
     new = np.ones(n, bool)
     new[1:] = line[1:] != line[:-1]
-    pair = np.full(n + 2 * REACH, np.iinfo(np.uint64).max, np.uint64)
-    inner = pair[REACH : n + REACH]
-    inner[1:] = mix(numbers[1:] + (numbers[:-1] << np.uint64(1)))
+    pair = np.full(n, top, np.uint64)
+    pair[1:] = mix(numbers[1:] + (numbers[:-1] << np.uint64(1)))
+    pair[1:][doc[1:] != doc[:-1]] = top
+    # Texts are set apart by REACH places that are never smaller.
+    spot = np.arange(n) + REACH * (doc - doc[0] + 1)
+    wide = np.full(int(spot[-1]) + REACH + 1, top, np.uint64)
+    wide[spot] = pair
     low = ~new
     for k in range(1, REACH + 1):
-        low &= (inner < pair[REACH - k : n + REACH - k]) & (inner < pair[REACH + k : n + REACH + k])
+        low &= (pair < wide[spot - k]) & (pair < wide[spot + k])
     low &= (np.bincount(line) > WHOLE)[line]
     return np.flatnonzero(new | low)
 
 
-def _parts(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    words, sizes = [], []
-    for one in text.lower().split(b"\n"):
-        got = one.split()
-        words += got
-        sizes.append(len(got))
+def _parts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all words, first positions of paragraphs, and the text that each of these is in."""
+    words, sizes, lines = [], [], []
+    for text in texts:
+        before = len(sizes)
+        for one in text.lower().split(b"\n"):
+            got = one.split()
+            words += got
+            sizes.append(len(got))
+        lines.append(len(sizes) - before)
     numbers = word_numbers(words, worker_words())
-    return numbers, cuts(numbers, np.repeat(np.arange(len(sizes)), sizes))
+    line = np.repeat(np.arange(len(sizes)), sizes)
+    doc = np.repeat(np.arange(len(lines)), lines)[line]
+    starts = cuts(numbers, line, doc)
+    return numbers, starts, doc[starts]
 
 
 def _units(batch: pa.RecordBatch, bands: int, rows: int):
-    docs = batch.column(0).to_pylist()
-    ids, places, firsts, seconds, counts, keys = [], [], [], [], [], []
-    for doc, text in zip(docs, texts_of(batch.column(1)), strict=True):
-        numbers, starts = _parts(text)
-        if not len(starts):
-            continue
-        sizes = np.diff(np.append(starts, len(numbers)))
-        h1, h2 = sequence_hashes(numbers, starts)
-        good = sizes >= MIN_WORDS
-        if not good.any():
-            continue
-        run = shingles(numbers, WIDTH)
-        # A paragraph's shingles start in it and end in it.
-        signature = []
-        spots = starts[good]
-        last = sizes[good] - WIDTH + 1
-        bounds = np.stack([spots, spots + last], 1).ravel()
-        for k in range(bands * rows):
-            value = mix(run ^ mix(np.array([k + 1], np.uint64)))
-            value = np.append(value, np.iinfo(np.uint64).max)
-            signature.append(np.minimum.reduceat(value, np.minimum(bounds, len(value) - 1))[::2])
-        band = []
-        for b in range(bands):
-            key = np.full(len(spots), b + 1, np.uint64)
-            for r in range(rows):
-                key = mix(key * np.uint64(0x9E3779B97F4A7C15) + signature[b * rows + r])
-            band.append(key)
-        ids.append(np.full(len(spots), doc, np.int64))
-        places.append(np.flatnonzero(good).astype(np.int32))
-        firsts.append(h1[good])
-        seconds.append(h2[good])
-        counts.append(sizes[good].astype(np.int32))
-        keys.append(np.stack(band, 1))
-    if not ids:
+    ids = batch.column(0).to_numpy(zero_copy_only=False)
+    numbers, starts, doc = _parts(texts_of(batch.column(1)))
+    sizes = np.diff(np.append(starts, len(numbers)))
+    good = sizes >= MIN_WORDS
+    if not good.any():
         return (None,)
-    key = np.concatenate(keys)
-    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, key.size + 1, bands, dtype=np.int32)), pa.array(key.ravel().view(np.int64)))
-    return np.concatenate(ids), np.concatenate(places), np.concatenate(firsts).view(np.int64), np.concatenate(seconds).view(np.int64), np.concatenate(counts), lists
+    place = np.arange(len(starts)) - np.searchsorted(doc, doc)
+    h1, h2 = sequence_hashes(numbers, starts)
+    run = shingles(numbers, WIDTH)
+    # A paragraph's shingles start in it and end in it.
+    spots, last = starts[good], sizes[good] - WIDTH + 1
+    bounds = np.stack([spots, spots + last], 1).ravel()
+    keys = np.empty((len(spots), bands), np.uint64)
+    value = np.full(len(run) + 1, np.iinfo(np.uint64).max, np.uint64)
+    for b in range(bands):
+        key = np.full(len(spots), b + 1, np.uint64)
+        for r in range(rows):
+            value[:-1] = mix(run ^ mix(np.array([b * rows + r + 1], np.uint64)))
+            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(value, bounds)[::2])
+        keys[:, b] = key
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32)), pa.array(keys.ravel().view(np.int64)))
+    return ids[doc[good]], place[good].astype(np.int32), h1[good].view(np.int64), h2[good].view(np.int64), sizes[good].astype(np.int32), lists
 
 
 def _sets(per_doc: DataFrame, source: DataFrame) -> DataFrame:
@@ -106,7 +102,7 @@ def _sets(per_doc: DataFrame, source: DataFrame) -> DataFrame:
         for batch in batches:
             rows = []
             for text, units in zip(texts_of(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                numbers, starts = _parts(text)
+                numbers, starts, _ = _parts([text])
                 ends = np.append(starts[1:], len(numbers))
                 rows += [(u["h1"], u["h2"], np.unique(shingles(numbers[starts[u["unit"]] : ends[u["unit"]]], WIDTH)).view(np.int64)) for u in units if u["unit"] < len(starts)]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else ([], [], []), schema.types, strict=True)], schema=schema)
@@ -116,7 +112,7 @@ def _sets(per_doc: DataFrame, source: DataFrame) -> DataFrame:
 
 
 def _without(batch_text: bytes, gone: list[int]) -> bytes:
-    numbers, starts = _parts(batch_text)
+    numbers, starts, _ = _parts([batch_text])
     spans = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", batch_text)]
     ends = np.append(starts[1:], len(numbers))
     out, at = [], 0
