@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import uuid
 
@@ -38,9 +39,15 @@ class Scratch:
         return read
 
     def drop(self, *frames: DataFrame) -> None:
+        """Delete tables that no later step reads."""
         for frame in frames:
             self._delete(getattr(frame, "_tessera_path", None))
 
+    def settle(self) -> None:
+        """Have the driver notice what written tables have cut off, so that Spark deletes its shuffle files now."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def _delete(self, path: str | None) -> None:
         if path:
             jvm = self.spark._jvm
