@@ -129,6 +129,7 @@ def group_by_links(
             break
         found = scratch.keep(verified(pairs))
         scratch.drop(pairs)
+        scratch.settle()
         links = found if links is None else links.unionByName(found)
         group = components(links, scratch)
         if not group_is_kept(group):

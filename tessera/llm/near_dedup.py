@@ -90,6 +90,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.85, width: int = 5, id
     lists = held.withColumn("open", F.greatest(F.lit(0), F.floor(prefix) - rare).cast("int")).where("open > 0")
     lists = lists.select(F.col("rep").alias("id"), "n_shingles", rare.alias("rare"), F.posexplode(F.expr("slice(held, 1, open)")).alias("i", "x"))
     lists = scratch.keep(lists.select("x.key", "id", "n_shingles", (F.col("rare") + F.col("i") + 1).alias("place")))
+    scratch.settle()
     shared = lists.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     lists = scratch.keep(lists.join(shared, "key"))
     run_whole, whole_schema = _sets(width, None, "id")

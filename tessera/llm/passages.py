@@ -70,6 +70,16 @@ def _parts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return numbers, starts, doc[starts]
 
 
+def distinct(run: np.ndarray, spots: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Number of distinct shingles of each paragraph, which has those from ``spots`` on, ``last`` of them."""
+    of = np.repeat(np.arange(len(spots)), last)
+    value = run[np.repeat(spots - (np.cumsum(last) - last), last) + np.arange(last.sum())]
+    order = np.lexsort((value, of))
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (value[order][1:] != value[order][:-1]) | (of[order][1:] != of[order][:-1])
+    return np.bincount(of[order][fresh], minlength=len(spots)).astype(np.int32)
+
+
 def _units(batch: pa.RecordBatch, bands: int, rows: int):
     ids = batch.column(0).to_numpy(zero_copy_only=False)
     numbers, starts, doc = _parts(texts_of(batch.column(1)))
@@ -92,7 +102,7 @@ def _units(batch: pa.RecordBatch, bands: int, rows: int):
             key = mix(key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(value, bounds)[::2])
         keys[:, b] = key
     lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32)), pa.array(keys.ravel().view(np.int64)))
-    return ids[doc[good]], place[good].astype(np.int32), h1[good].view(np.int64), h2[good].view(np.int64), sizes[good].astype(np.int32), lists
+    return ids[doc[good]], place[good].astype(np.int32), h1[good].view(np.int64), h2[good].view(np.int64), distinct(run, spots, last), lists
 
 
 def _sets(per_doc: DataFrame, source: DataFrame) -> DataFrame:
@@ -145,13 +155,17 @@ def dedup_passages(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     units = scratch.keep(source.mapInArrow(by_documents(lambda b: _units(b, bands, rows), schema), UNIT + ", keys array<long>"))
 
     def lists(units: DataFrame) -> DataFrame:
-        return units.select(F.explode("keys").alias("key"), F.struct("h1", "h2").alias("id"), "n_words")
+        return units.select(F.explode("keys").alias("key"), F.struct("h1", "h2").alias("id"), F.col("n_words").alias("n_shingles"))
+
+    def near(a: str, b: str):
+        na, nb = F.col(f"{a}n_shingles"), F.col(f"{b}n_shingles")
+        return F.least(na, nb) >= F.greatest(na, nb) * (similar - 1e-12)
 
     def linked(a: str, b: str):
         both = F.size(F.array_intersect(f"{a}vals", f"{b}vals"))
         return both >= (F.size(f"{a}vals") + F.size(f"{b}vals") - both) * (similar - 1e-12)
 
-    gone = removals(units, lists, lambda per_doc: _sets(per_doc, source), scratch, linked=linked, near=None)
+    gone = removals(units, lists, lambda per_doc: _sets(per_doc, source), scratch, linked=linked, near=near)
     gone = gone.select(F.col("doc_id").alias("_doc"), F.col("gone").alias("_gone"))
     columns = [c for c in docs.columns if c != "removed"]
 

@@ -48,19 +48,22 @@ def removals(
 ) -> DataFrame:
     """``(doc_id, gone array<int>)``: the units of each document that repeat an earlier one.
 
-    ``units(doc_id, unit, h1, h2, ...)`` is every unit. Equal hashes are one text; ``lists`` gives the inverted lists
+    ``units(doc_id, unit, h1, h2, ...)``, a kept table that is deleted once it is read, is every unit. Equal hashes are one text; ``lists`` gives the inverted lists
     ``(key, id struct<h1, h2>, ...)`` of the units and ``payload`` what comparing some of them needs, from
     ``(doc_id, units array<struct<h1, h2, unit>>)``. Of each
     connected group of texts the occurrence with the smallest document and place stays.
     """
     first = F.min(F.struct("doc_id", "unit")).alias("first")
+    every, units = units, scratch.keep(units.select("doc_id", "unit", "h1", "h2"))
     twice = scratch.keep(units.groupBy("h1", "h2").agg(first, F.count("*").alias("n")).where("n > 1"))
     # A key of one unit alone links nothing: numbers of units are counted by key before anything else moves.
-    keyed = lists(units)
+    keyed = lists(every)
     several = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     listed = scratch.keep(keyed.join(several, "key").distinct())
     shared = listed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key")
     listed = scratch.keep(listed.join(shared, "key"))
+    scratch.drop(every)
+    scratch.settle()
 
     def firsts(ids: DataFrame) -> DataFrame:
         some = small(ids, F.lit(2))
