@@ -151,11 +151,11 @@ def dedup_passages(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "passages")
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     bands, rows = tune(similar)
-    schema = pa.schema([*[(n, t) for n, t in (("doc_id", pa.int64()), ("unit", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()), ("n_words", pa.int32()))], ("keys", pa.list_(pa.int64()))])
-    units = scratch.keep(source.mapInArrow(by_documents(lambda b: _units(b, bands, rows), schema), UNIT + ", keys array<long>"))
+    schema = pa.schema([*[(n, t) for n, t in (("doc_id", pa.int64()), ("unit", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()), ("n_shingles", pa.int32()))], ("keys", pa.list_(pa.int64()))])
+    units = scratch.keep(source.mapInArrow(by_documents(lambda b: _units(b, bands, rows), schema), UNIT + ", n_shingles int, keys array<long>"))
 
     def lists(units: DataFrame) -> DataFrame:
-        return units.select(F.explode("keys").alias("key"), F.struct("h1", "h2").alias("id"), F.col("n_words").alias("n_shingles"))
+        return units.select(F.explode("keys").alias("key"), F.struct("h1", "h2").alias("id"), "n_shingles")
 
     def near(a: str, b: str):
         na, nb = F.col(f"{a}n_shingles"), F.col(f"{b}n_shingles")

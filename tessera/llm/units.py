@@ -14,7 +14,7 @@ from tessera.llm.scratch import Scratch, small
 from tessera.llm.words import mix
 
 _STEP = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
-UNIT = "doc_id long, unit int, h1 long, h2 long, n_words int"
+UNIT = "doc_id long, unit int, h1 long, h2 long"
 
 
 def sequence_hashes(numbers: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
