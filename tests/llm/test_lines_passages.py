@@ -74,6 +74,61 @@ def test_lines_equal_brute_force(spark):
             assert (r.doc_id, r.text) in {(x[0], x[1]) for x in data}
 
 
+def changed(rng, line, kind):
+    """``line`` with words replaced, put in or left out, up to an edit similarity of 0.8."""
+    words = line.split()
+    while True:
+        one = list(words)
+        for _ in range(rng.randint(1, max(1, len(words) // 5))):
+            i = rng.randrange(len(one))
+            if kind == 0:
+                one[i] = "".join(rng.choice("klmnopq") for _ in range(rng.randint(2, 8)))
+            elif kind == 1:
+                one.insert(i, "".join(rng.choice("klmnopq") for _ in range(rng.randint(2, 8))))
+            elif len(one) > 4:
+                del one[i]
+        other = " ".join(one)
+        if other != line and lines.edits(line, other) <= 0.2 * max(len(line), len(other)):
+            return other
+
+
+def test_lines_recall(spark):
+    """Lines of 5 to 60 words, some of them common, and one of an edit similarity of 0.8 or more to each."""
+    rng = random.Random(11)
+    common = ["the", "of", "and", "to", "in", "is", "that"]
+    data = []
+    for i in range(600):
+        n = rng.randint(5, 60)
+        line = " ".join(rng.choice(common) if rng.random() < 0.3 else "".join(rng.choice("abcdefghij") for _ in range(rng.randint(3, 9))) for _ in range(n))
+        data += [(2 * i, line), (2 * i + 1, changed(rng, line, i % 3))]
+    out = {r.doc_id: r for r in lines.dedup_lines(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert sum(bool(out[2 * i + 1].removed_lines) for i in range(600)) >= 588
+    assert not any(out[2 * i].removed_lines for i in range(600))
+
+
+def test_lines_link_by_edits_alone(spark):
+    """No sign of a sketch decides: the pairs of the small table are those of the edit similarity."""
+    data = rows()
+    spots = {}
+    for r in data:
+        if r[0] is not None and r[1] is not None:
+            for k, line in enumerate(r[1].split("\n")):
+                if len(plain(line)) >= 3:
+                    spots.setdefault(" ".join(plain(line)), set()).add((r[0], k))
+    group = {k: k for k in spots}
+    for a, b in itertools.combinations(spots, 2):
+        if lines.edits(a, b) <= 0.2 * max(len(a), len(b)):
+            old, new = group[a], group[b]
+            group = {k: new if g == old else g for k, g in group.items()}
+    first = {}
+    for k, g in group.items():
+        first[g] = min(first.get(g, (10**9, 0)), min(spots[k]))
+    want = {spot for k, g in group.items() for spot in spots[k] if spot != first[g]}
+    out = lines.dedup_lines(documents(spark)).collect()
+    assert (17, 0) in want
+    assert {(r.doc_id, k) for r in out if r.removed_lines for k in r.removed_lines} == want
+
+
 def test_lines_empty(spark):
     assert lines.dedup_lines(empty(spark)).count() == 0
 
