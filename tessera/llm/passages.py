@@ -53,8 +53,8 @@ def cuts(numbers: np.ndarray, line: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new | low)
 
 
-def _parts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all words, first positions of paragraphs, and the text that each of these is in."""
+def _parts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all words, first positions of paragraphs, and the text and the line that each of these is in."""
     words, sizes, lines = [], [], []
     for text in texts:
         before = len(sizes)
@@ -67,7 +67,7 @@ def _parts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     line = np.repeat(np.arange(len(sizes)), sizes)
     doc = np.repeat(np.arange(len(lines)), lines)[line]
     starts = cuts(numbers, line, doc)
-    return numbers, starts, doc[starts]
+    return numbers, starts, doc[starts], line[starts]
 
 
 def distinct(run: np.ndarray, spots: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -80,14 +80,20 @@ def distinct(run: np.ndarray, spots: np.ndarray, last: np.ndarray) -> np.ndarray
     return np.bincount(of[order][fresh], minlength=len(spots)).astype(np.int32)
 
 
-def _units(batch: pa.RecordBatch, bands: int, rows: int):
+def _units(batch: pa.RecordBatch, bands: int, rows: int, whole: bool):
+    """Units are paragraphs, with the place of their line's first; if ``whole``, lines, with the place past their last."""
     ids = batch.column(0).to_numpy(zero_copy_only=False)
-    numbers, starts, doc = _parts(texts_of(batch.column(1)))
+    numbers, starts, doc, line = _parts(texts_of(batch.column(1)))
+    place = np.arange(len(starts)) - np.searchsorted(doc, doc)
+    span = place[np.searchsorted(line, line)]
+    if whole:
+        head = span == place
+        span = place + np.searchsorted(line, line, side="right") - np.arange(len(starts))
+        starts, doc, place, span = starts[head], doc[head], place[head], span[head]
     sizes = np.diff(np.append(starts, len(numbers)))
     good = sizes >= MIN_WORDS
     if not good.any():
         return (None,)
-    place = np.arange(len(starts)) - np.searchsorted(doc, doc)
     h1, h2 = sequence_hashes(numbers, starts)
     run = shingles(numbers, WIDTH)
     # A paragraph's shingles start in it and end in it.
@@ -102,18 +108,18 @@ def _units(batch: pa.RecordBatch, bands: int, rows: int):
             key = mix(key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(value, bounds)[::2])
         keys[:, b] = key
     lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32)), pa.array(keys.ravel().view(np.int64)))
-    return ids[doc[good]], place[good].astype(np.int32), h1[good].view(np.int64), h2[good].view(np.int64), distinct(run, spots, last), lists
+    return ids[doc[good]], place[good].astype(np.int32), h1[good].view(np.int64), h2[good].view(np.int64), distinct(run, spots, last), lists, span[good].astype(np.int32)
 
 
-def _sets(per_doc: DataFrame, source: DataFrame) -> DataFrame:
+def _sets(per_doc: DataFrame, source: DataFrame, whole: bool) -> DataFrame:
     schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("vals", pa.list_(pa.int64()))])
 
     def run(batches):
         for batch in batches:
             rows = []
             for text, units in zip(texts_of(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                numbers, starts, _ = _parts([text])
-                ends = np.append(starts[1:], len(numbers))
+                numbers, starts, _, line = _parts([text])
+                ends = np.append(starts, len(numbers))[np.searchsorted(line, line, side="right") if whole else np.arange(len(starts)) + 1]
                 rows += [(u["h1"], u["h2"], np.unique(shingles(numbers[starts[u["unit"]] : ends[u["unit"]]], WIDTH)).view(np.int64)) for u in units if u["unit"] < len(starts)]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else ([], [], []), schema.types, strict=True)], schema=schema)
 
@@ -122,7 +128,7 @@ def _sets(per_doc: DataFrame, source: DataFrame) -> DataFrame:
 
 
 def _without(batch_text: bytes, gone: list[int]) -> bytes:
-    numbers, starts, _ = _parts([batch_text])
+    numbers, starts, _, _ = _parts([batch_text])
     spans = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", batch_text)]
     ends = np.append(starts[1:], len(numbers))
     out, at = [], 0
@@ -140,10 +146,12 @@ def dedup_passages(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     ``removed array<int>`` has their places (null: none).
 
     A paragraph is a line; a line of more than 24 words is cut at places that its own words decide, some 15 words
-    apart, so passages are found wherever they start. Paragraphs of 8 words or more with a Jaccard similarity of
+    apart, so passages are found wherever they start. Lines of any length are compared as a whole first; then the
+    paragraphs of the lines that stay. Those of 8 words or more with a Jaccard similarity of
     ``similar`` or more on their 5-word shingles are linked; pairs come from bands of MinHashes, tuned so that 99 of
     100 such pairs share one, and each pair is verified on the whole sets. Of each connected group the occurrence in
-    the smallest doc_id, first place, stays. A-Z count as a-z.
+    the smallest doc_id, first place, stays. A-Z count as a-z. Where a repeated passage begins or ends inside a
+    paragraph, that paragraph's other words can keep it from being linked, and its share of the passage stays.
 
     Null and empty texts stay as they are, as do rows with a null doc_id. Rows that repeat a doc_id are taken for
     one document. No rows give no rows.
@@ -151,8 +159,10 @@ def dedup_passages(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "passages")
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     bands, rows = tune(similar)
-    schema = pa.schema([*[(n, t) for n, t in (("doc_id", pa.int64()), ("unit", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()), ("n_shingles", pa.int32()))], ("keys", pa.list_(pa.int64()))])
-    units = scratch.keep(source.mapInArrow(by_documents(lambda b: _units(b, bands, rows), schema), UNIT + ", n_shingles int, keys array<long>"))
+    schema = pa.schema([*[(n, t) for n, t in (("doc_id", pa.int64()), ("unit", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()), ("n_shingles", pa.int32()))], ("keys", pa.list_(pa.int64())), ("span", pa.int32())])
+
+    def units(whole: bool) -> DataFrame:
+        return source.mapInArrow(by_documents(lambda b: _units(b, bands, rows, whole), schema), UNIT + ", n_shingles int, keys array<long>, span int")
 
     def lists(units: DataFrame) -> DataFrame:
         return units.select(F.explode("keys").alias("key"), F.struct("h1", "h2").alias("id"), "n_shingles")
@@ -165,7 +175,22 @@ def dedup_passages(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
         both = F.size(F.array_intersect(f"{a}vals", f"{b}vals"))
         return both >= (F.size(f"{a}vals") + F.size(f"{b}vals") - both) * (similar - 1e-12)
 
-    gone = removals(units, lists, lambda per_doc: _sets(per_doc, source), scratch, linked=linked, near=near)
+    def places(units: DataFrame, whole: bool, scratch: Scratch) -> DataFrame:
+        gone = removals(units, lists, lambda per_doc: _sets(per_doc, source, whole), scratch, linked=linked, near=near)
+        return gone.select("doc_id", F.explode("gone").alias("unit"))
+
+    of_lines = Scratch(docs.sparkSession, "passage-lines")
+    every = of_lines.keep(units(True))
+    long = scratch.keep(every.where("span > unit + 1").groupBy("doc_id", "unit").agg(F.max("span").alias("span")))
+    lines = scratch.keep(places(every, True, of_lines))
+    of_lines._clear()
+    scratch.settle()
+    # What is in a line that goes is no occurrence of a paragraph that could stay for others.
+    left = units(False).join(lines.select("doc_id", F.col("unit").alias("span")), ["doc_id", "span"], "left_anti")
+    parts = places(scratch.keep(left), False, scratch)
+    past = F.coalesce("span", F.col("unit") + 1)
+    lines = lines.join(long, ["doc_id", "unit"], "left").select("doc_id", F.explode(F.sequence("unit", past - 1)).alias("unit"))
+    gone = lines.unionByName(parts).groupBy("doc_id").agg(F.sort_array(F.collect_set("unit")).alias("gone"))
     gone = gone.select(F.col("doc_id").alias("_doc"), F.col("gone").alias("_gone"))
     columns = [c for c in docs.columns if c != "removed"]
 

@@ -165,6 +165,36 @@ def test_passage_recall(spark):
     assert passages.tune() == (3, 1)
 
 
+def test_long_line_recall(spark):
+    """Lines of 25 to 200 words and one of a similarity of 0.8 or more to each, by brute force, go as a whole."""
+    rng = random.Random(10)
+    data = []
+    while len(data) < 600:
+        a = [f"w{rng.randrange(10**6)}" for _ in range(rng.randint(25, 200))]
+        b = list(a)
+        for _ in range(rng.randint(1, max(1, len(a) // 40))):
+            b[rng.randrange(len(b))] = f"w{rng.randrange(10**6)}"
+        s, t = ({tuple(x[i : i + 5]) for i in range(len(x) - 4)} for x in (a, b))
+        if len(s & t) >= 0.8 * len(s | t):
+            data += [(len(data), " ".join(a)), (len(data) + 1, " ".join(b))]
+    out = {r.doc_id: r for r in passages.dedup_passages(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert sum(not out[i].text.split() for i in range(1, 600, 2)) >= 294
+    assert all(out[i].text == data[i][1] for i in range(0, 600, 2))
+
+
+def test_passage_of_a_removed_line_stays_elsewhere(spark):
+    """A paragraph whose first occurrence goes with its whole line is kept at the next one."""
+    rng = random.Random(12)
+    # A copy that is equal to the line that goes, but not to the one that stays, where a word was changed.
+    a = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    b = list(a)
+    b[60] = "changed"
+    c = [f"w{rng.randrange(10**6)}" for _ in range(100)] + b[50:72] + [f"w{rng.randrange(10**6)}" for _ in range(100)]
+    data = [(1, " ".join(a)), (2, " ".join(b)), (3, " ".join(c))]
+    out = {r.doc_id: r.text for r in passages.dedup_passages(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert out[1] == data[0][1] and not out[2].split() and "changed" in out[3].split()
+
+
 def test_passages_odd_rows(spark):
     assert passages.dedup_passages(documents(spark)).count() == len(rows())
     assert passages.dedup_passages(empty(spark)).count() == 0
