@@ -85,7 +85,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.85, width: int = 5, id
     held = values.join(common, "key").groupBy("rep", "n_shingles").agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("held"))
     # In the order rarest first, linked sets share a value that has few enough others before it in both.
     size = F.least(F.col("n_shingles"), F.lit(RETAINED))
-    prefix = size - _shared(F.col("n_shingles"), F.col("n_shingles") * threshold, threshold) + 1
+    # A larger partner's sketch may be a sample where this one is whole. The least that any partner shares is at one of these sizes.
+    n = F.col("n_shingles")
+    prefix = size - F.least(*[_shared(n, m, threshold) for m in (n * threshold, n, n / threshold)]) + 1
     rare = size - F.size("held")
     lists = held.withColumn("open", F.greatest(F.lit(0), F.floor(prefix) - rare).cast("int")).where("open > 0")
     lists = lists.select(F.col("rep").alias("id"), "n_shingles", rare.alias("rare"), F.posexplode(F.expr("slice(held, 1, open)")).alias("i", "x"))

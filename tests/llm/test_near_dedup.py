@@ -47,6 +47,19 @@ def test_equals_brute_force(spark):
         assert r.kept == (r.doc_id is None or r.doc_id == r.component_id)
 
 
+def test_contained_documents(spark):
+    """One set within another on both sides of the sketch's size, against brute force."""
+    rng = random.Random(8)
+    data = []
+    for k in range(300):
+        small = rng.randint(110, 136)
+        words = [f"w{rng.randrange(10**9)}" for _ in range(min(int(small / 0.85), 160) + 4)]
+        data += [(2 * k, " ".join(words[: small + 4])), (2 * k + 1, " ".join(words))]
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    lost = [k for k in range(300) if got[2 * k + 1] != 2 * k]
+    assert not lost
+
+
 def test_sizes(spark):
     got = near_dedup.near_duplicates(spark.createDataFrame([(1, "a b c d e f", 0), (2, "a b", 0), (3, " ", 0), (4, None, 0), (5, "A B", 0)], "doc_id long, text string, vals int"))
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == [(1, 2, 1), (2, 1, 2), (3, 0, 3), (4, 0, 4), (5, 1, 2)]
