@@ -74,16 +74,18 @@ def _name(text: bytes) -> tuple[int, int]:
     return int(a), int(b)
 
 
-def _find(length: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("n_bytes", pa.int64()), ("sha", pa.string()),
-                        ("runs", pa.list_(pa.struct([("anchor", pa.int64()), ("first", pa.int32()), ("last", pa.int32())])))])
+def _find(length: int, with_text: bool):
+    fields = [("doc_id", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("n_bytes", pa.int64()), ("sha", pa.string()),
+                        ("runs", pa.list_(pa.struct([("anchor", pa.int64()), ("first", pa.int32()), ("last", pa.int32())])))]
+    schema = pa.schema([*fields, ("whole", pa.binary())] if with_text else fields)
 
     def run(batches):
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
+                texts = texts_of(batch.column(1))
                 names, sizes, shas, got = [], [], [], []
-                for text in texts_of(batch.column(1)):
+                for text in texts:
                     names.append(_name(text))
                     sizes.append(len(text))
                     shas.append(hashlib.sha256(text).hexdigest())
@@ -92,9 +94,10 @@ def _find(length: int):
                 runs = pa.StructArray.from_arrays([pa.array(flat[0].view(np.int64)), pa.array(flat[1], pa.int32()), pa.array(flat[2], pa.int32())], ["anchor", "first", "last"])
                 offsets = pa.array(np.concatenate([[0], np.cumsum([len(g[0]) for g in got])]), pa.int32())
                 one, two = zip(*names, strict=True)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(sizes, pa.int64()), pa.array(shas), pa.ListArray.from_arrays(offsets, runs)], schema=schema)
+                columns = [batch.column(0), pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(sizes, pa.int64()), pa.array(shas), pa.ListArray.from_arrays(offsets, runs)]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.binary())] if with_text else columns, schema=schema)
 
-    return run, "doc_id long, h1 long, h2 long, n_bytes long, sha string, runs array<struct<anchor: long, first: int, last: int>>"
+    return run, "doc_id long, h1 long, h2 long, n_bytes long, sha string, runs array<struct<anchor: long, first: int, last: int>>" + ", whole binary" * with_text
 
 
 def _texts(length: int):
@@ -229,7 +232,7 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, with_text: bool = Fa
     spark = docs.sparkSession
     scratch = Scratch(spark, "substrings")
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    run, schema = _find(length)
+    run, schema = _find(length, with_text)
     found = scratch.keep(source.mapInArrow(run, schema))
     # One row per text: its count and a document that has it.
     text = found.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("doc_id").alias("rep"), F.count_if(F.col("doc_id").isNull()).alias("nulls"))
@@ -275,7 +278,7 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, with_text: bool = Fa
         F.size(spans).cast("long").alias("n_spans"),
         F.when(copy, F.sha2(F.lit("").cast("binary"), 256)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
         spans.alias("spans"),
-        *([F.when(copy, F.lit("").cast("binary")).otherwise(F.col("kept")).alias("kept")] if with_text else []),
+        *([F.when(copy, F.lit("").cast("binary")).otherwise(F.coalesce("kept", "whole")).alias("kept")] if with_text else []),
     )
     return out
 

@@ -32,6 +32,18 @@ def test_equals_brute_force(spark, monkeypatch, together):
     assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == sorted((str(i), *w) for i, w in zip(ids, want, strict=True))
 
 
+def test_kept_is_what_its_digest_says(spark):
+    data = rows()
+    got = substrings.dedup_substrings(documents(spark), with_text=True).collect()
+    assert len(got) == len(data)
+    for r in got:
+        assert r.kept is not None and len(r.kept) == r.n_bytes - r.n_removed
+        assert hashlib.sha256(r.kept).hexdigest() == r.kept_sha256
+    whole = {r[0]: (r[1] or "").encode() for r in data}
+    clean = [r for r in got if not r.n_removed and r.doc_id not in (None, 7)]
+    assert clean and all(bytes(r.kept) == whole[r.doc_id] for r in clean)
+
+
 def test_empty(spark):
     assert substrings.dedup_substrings(empty(spark)).count() == 0
 
