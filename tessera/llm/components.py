@@ -126,7 +126,8 @@ def group_by_links(
             pairs = left.join(right, "key").where((F.col("l_c") < F.col("r_c")) & near("l_", "r_"))
         pairs = scratch.keep(pairs.select("a", "b").distinct())
         if is_empty(pairs):
-            break
+            # No hub is near to anything; members of its list may be near each other still.
+            continue
         found = scratch.keep(verified(pairs))
         scratch.drop(pairs)
         scratch.settle()

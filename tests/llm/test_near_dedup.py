@@ -1,9 +1,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import near_dedup
-from tessera.llm.components import components
+from tessera.llm.components import components, group_by_links
 from tessera.llm.scratch import Scratch
 from tests.llm.data import documents, empty, rows
 
@@ -60,6 +61,17 @@ def test_contained_documents(spark):
     assert not lost
 
 
+def test_hub_near_nothing(spark):
+    """The smallest id of a list is near no other, two others are near each other."""
+    members = spark.createDataFrame([(1, 10, 0), (1, 20, 50), (1, 30, 51)], "key long, id long, at int")
+
+    def payload(ids):
+        return ids.join(members.select("id", F.col("at").alias("place")).distinct(), "id")
+
+    got = group_by_links(members, payload, lambda a, b: F.abs(F.col(f"{a}place") - F.col(f"{b}place")) < 2, lambda a, b: F.abs(F.col(f"{a}at") - F.col(f"{b}at")) < 2, Scratch(spark, "hub"))
+    assert {(r.id, r.component) for r in got.collect()} == {(20, 20), (30, 20)}
+
+
 def test_sizes(spark):
     got = near_dedup.near_duplicates(spark.createDataFrame([(1, "a b c d e f", 0), (2, "a b", 0), (3, " ", 0), (4, None, 0), (5, "A B", 0)], "doc_id long, text string, vals int"))
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == [(1, 2, 1), (2, 1, 2), (3, 0, 3), (4, 0, 4), (5, 1, 2)]
