@@ -58,7 +58,8 @@ def patterns(demand: np.ndarray, rounds: int = 4000) -> list[tuple[np.ndarray, i
     """``(count of each size, times used)`` covering ``demand[i]`` items of size i + 1 in bins of ``len(demand)``.
 
     The linear program is solved by the revised simplex method on the patterns known so far; the knapsack program
-    prices new ones until none helps. Uses are rounded down, and what that leaves, fewer items than patterns hold
+    prices new ones until none helps, or ``rounds`` are over (some hundreds are usual for 256 sizes); the patterns then
+    known cover the demand as well, with more padding. Uses are rounded down, and what that leaves, fewer items than patterns hold
     once each, goes first-fit, largest first.
     """
     capacity = len(demand)
@@ -145,9 +146,10 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, gr
     own = Window.partitionBy("size", "shard").orderBy("doc_id", "start", "ids_crc32")
     ranked = piece.withColumn("own", F.row_number().over(own) - 1).join(base, ["size", "shard"]).withColumn("rank", F.col("base") + F.col("own"))
     slot = spark.createDataFrame(slots, "size int, first long, past long, each long, sequence long")
-    # At most a few sizes for each of the patterns, of which there are hardly more than sizes.
-    placed = ranked.join(F.broadcast(slot), "size").where("rank >= first and rank < past")
-    placed = placed.withColumn("sequence_id", F.expr("sequence + (rank - first) div each")).withColumn("place", F.expr("(rank - first) % each"))
+    # A row per size, so that a piece meets one row; it holds at most one slot for each pattern, of which there are hardly more than sizes.
+    slot = slot.groupBy("size").agg(F.collect_list(F.struct("first", "past", "each", "sequence")).alias("slots"))
+    placed = ranked.join(F.broadcast(slot), "size").withColumn("own", F.expr("filter(slots, s -> rank >= s.first and rank < s.past)[0]"))
+    placed = placed.withColumn("sequence_id", F.expr("own.sequence + (rank - own.first) div own.each")).withColumn("place", F.expr("(rank - own.first) % own.each"))
     earlier = Window.partitionBy("sequence_id").orderBy(F.desc("size"), "place").rowsBetween(Window.unboundedPreceding, -1)
     return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", F.coalesce(F.sum("length").over(earlier), F.lit(0)).alias("offset"))
 
