@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.scratch import Scratch, is_empty
@@ -78,7 +78,7 @@ def group_by_links(
     linked: Callable[[str, str], Column],
     near: Callable[[str, str], Column] | None,
     scratch: Scratch,
-    stars: int = 1,
+    stars: tuple[int, ...] = (1, 16),
     check: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Components ``(id, component)`` of the graph that joins two ids if they share a key and ``linked`` holds.
@@ -86,10 +86,12 @@ def group_by_links(
     ``members(key, id, *small)`` are inverted lists; ``payload`` gives what a comparison needs, ``(id, *large)``, of the
     ids of the pairs to compare, a kept table. Columns reach ``linked`` prefixed ``l_`` and ``r_``; ``near`` is a condition on the small columns alone, under the same names.
 
-    Components need no all-pairs join. In each star round a list compares its members with one of them (the
-    smallest id first, then others chosen by hash); lists whose members already share a component drop out. What
-    is left, lists that still span several components, is compared pair by pair across components, so the result
-    is the one that all pairs would give. ``check`` verifies pairs where a column expression can't.
+    Components need no all-pairs join. In each star round a list compares its members with some hubs among them (the
+    smallest id first, then ``stars`` others chosen by hash, in lists longer than that); lists whose members already
+    share a component drop out. What is left, lists that still span several components, is compared pair by pair
+    across components, so the result is the one that all pairs would give. ``check`` verifies pairs where a column
+    expression can't. Where no hub is near to anything, members of its list may be near each other still: the round
+    that compares all always runs.
     """
     small = [c for c in members.columns if c not in ("key", "id")]
     near = near or (lambda left, right: F.lit(True))
@@ -105,28 +107,25 @@ def group_by_links(
         good = check(wide) if check else wide.where(linked("l_", "r_"))
         return good.select("a", "b")
 
-    for turn in range(stars + 1):
+    for turn, hubs in enumerate((*stars, None)):
         lab = members if group is None else members.join(group.withColumnRenamed("component", "c"), "id", "left")
         lab = lab.withColumn("c", F.col("id") if group is None else F.coalesce("c", "id"))
-        mixed = lab.groupBy("key").agg(F.min("c").alias("c_low"), F.max("c").alias("c_high"),
-                                       F.min_by(F.struct("id", "c", *small), F.col("id") if turn == 0 else F.xxhash64("id", F.lit(turn))).alias("hub"))
-        mixed = mixed.where("c_low < c_high")
-        if turn < stars:
-            pairs = (
-                lab.join(mixed, "key")
-                .where("c <> hub.c")
-                .select(F.col("hub.id").alias("a"), F.col("id").alias("b"),
-                        *[F.col(f"hub.{c}").alias(f"l_{c}") for c in small], *[F.col(c).alias(f"r_{c}") for c in small])
-                .where(near("l_", "r_"))
-            )
-        else:
-            rest = scratch.keep(lab.join(mixed.select("key"), "key", "left_semi"))
-            left = rest.select("key", F.col("id").alias("a"), F.col("c").alias("l_c"), *[F.col(c).alias(f"l_{c}") for c in small])
-            right = rest.select("key", F.col("id").alias("b"), F.col("c").alias("r_c"), *[F.col(c).alias(f"r_{c}") for c in small])
-            pairs = left.join(right, "key").where((F.col("l_c") < F.col("r_c")) & near("l_", "r_"))
-        pairs = scratch.keep(pairs.select("a", "b").distinct())
+        mixed = lab.groupBy("key").agg(F.min("c").alias("c_low"), F.max("c").alias("c_high"), F.count("*").alias("n")).where("c_low < c_high")
+        # A short list has few pairs: it isn't worth more than one hub.
+        mixed = mixed.where(F.col("n") > (hubs if hubs and hubs > 1 else 1)).select("key")
+        rest = scratch.keep(lab.join(mixed, "key", "left_semi"))
+        left = rest
+        if hubs:
+            # Most lists choose the same hubs, and only so many of a task's rows move.
+            first = Window.partitionBy("key").orderBy(F.col("id") if turn == 0 else F.xxhash64("id", F.lit(turn)), "id")
+            left = rest.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= hubs).drop("_n")
+        left = left.select("key", F.col("id").alias("a"), F.col("c").alias("l_c"), *[F.col(c).alias(f"l_{c}") for c in small])
+        right = rest.select("key", F.col("id").alias("b"), F.col("c").alias("r_c"), *[F.col(c).alias(f"r_{c}") for c in small])
+        once = F.col("l_c") != F.col("r_c") if hubs else F.col("l_c") < F.col("r_c")
+        pairs = left.join(right, "key").where(once & near("l_", "r_"))
+        pairs = scratch.keep(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        scratch.drop(rest)
         if is_empty(pairs):
-            # No hub is near to anything; members of its list may be near each other still.
             continue
         found = scratch.keep(verified(pairs))
         scratch.drop(pairs)

@@ -2,24 +2,22 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.scratch import Scratch
+from tessera.llm.scratch import Scratch, free, small
 from tessera.llm.units import UNIT, by_documents, removals, sequence_hashes
-from tessera.llm.words import mix, shingles, texts_of, word_numbers, worker_words
+from tessera.llm.words import Words, mix, shingles, slices, words_of
 
-#: Words of a shingle; similarity of linked paragraphs; fewest words of one; words to either side that a cut inside a
-#: long paragraph has a smaller hash than; longest paragraph that is never cut.
-WIDTH, SIMILAR, MIN_WORDS, REACH, WHOLE = 5, 0.8, 8, 7, 24
-RECALL = 0.99
+#: Words of a shingle; similarity of linked paragraphs; fewest words of one, and of two pieces; words to either side that
+#: a cut inside a long paragraph has a smaller hash than; longest paragraph that is never cut.
+WIDTH, SIMILAR, MIN_WORDS, REACH, WHOLE = 5, 0.8, 8, 4, 24
+RECALL, ROWS = 0.99, 3
 
 
-def tune(similar: float = SIMILAR, recall: float = RECALL, most: int = 64, rows: int = 1) -> tuple[int, int]:
+def tune(similar: float = SIMILAR, recall: float = RECALL, most: int = 64, rows: int = ROWS) -> tuple[int, int]:
     """``(bands, rows)``: the fewest bands of ``rows`` hashes that find a pair of this similarity with this probability."""
     for bands in range(1, most + 1):
         if 1 - (1 - similar**rows) ** bands >= recall:
@@ -28,9 +26,9 @@ def tune(similar: float = SIMILAR, recall: float = RECALL, most: int = 64, rows:
 
 
 def cuts(numbers: np.ndarray, line: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """First positions of the paragraphs of some texts, given their words' hashes and the line and text each is in.
+    """First positions of the pieces of some texts, given their words' hashes and the line and text each is in.
 
-    A line is a paragraph. One of more than WHOLE words is cut before each word whose pair with the word before it
+    A line of up to WHOLE words is a piece. A longer one is cut before each word whose pair with the word before it
     has a smaller hash than all pairs within REACH words of its text, so a passage is cut alike wherever it stands.
     """
     n = len(numbers)
@@ -53,50 +51,49 @@ def cuts(numbers: np.ndarray, line: np.ndarray, doc: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new | low)
 
 
-def _parts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all words, first positions of paragraphs, and the text and the line that each of these is in."""
-    words, sizes, lines = [], [], []
-    for text in texts:
-        before = len(sizes)
-        for one in text.lower().split(b"\n"):
-            got = one.split()
-            words += got
-            sizes.append(len(got))
-        lines.append(len(sizes) - before)
-    numbers = word_numbers(words, worker_words())
-    line = np.repeat(np.arange(len(sizes)), sizes)
-    doc = np.repeat(np.arange(len(lines)), lines)[line]
-    starts = cuts(numbers, line, doc)
-    return numbers, starts, doc[starts], line[starts]
-
-
-def distinct(run: np.ndarray, spots: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """Number of distinct shingles of each paragraph, which has those from ``spots`` on, ``last`` of them."""
-    of = np.repeat(np.arange(len(spots)), last)
-    value = run[np.repeat(spots - (np.cumsum(last) - last), last) + np.arange(last.sum())]
-    order = np.lexsort((value, of))
-    fresh = np.ones(len(order), bool)
-    fresh[1:] = (value[order][1:] != value[order][:-1]) | (of[order][1:] != of[order][:-1])
-    return np.bincount(of[order][fresh], minlength=len(spots)).astype(np.int32)
+def _parts(column: pa.Array) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of some texts, first words of pieces, and the text and the line that each of these is in."""
+    words = words_of(column)
+    starts = cuts(words.numbers, words.line, words.text)
+    return words, starts, words.text[starts], words.line[starts]
 
 
-def _units(batch: pa.RecordBatch, bands: int, rows: int, whole: bool):
-    """Units are paragraphs, with the place of their line's first; if ``whole``, lines, with the place past their last."""
+def distinct(run: np.ndarray, spots: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of distinct shingles of each line, which has those from ``spots`` on, ``last`` of them; and a sketch of
+    them in two numbers: of each of 128 classes of shingles, whether the line has an odd number."""
+    of = np.repeat(np.arange(len(spots)), last)
+    value = run[np.repeat(spots - (np.cumsum(last) - last), last) + np.arange(last.sum())]
+    own = mix(value + of.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    inorder = np.sort(own)
+    again = inorder[1:][inorder[1:] == inorder[:-1]]
+    if len(again):
+        # The first of each goes on; the others are left out.
+        some = np.flatnonzero(again[np.minimum(np.searchsorted(again, own), len(again) - 1)] == own)
+        _, first = np.unique(own[some], return_index=True)
+        keep = np.ones(len(own), bool)
+        keep[some] = False
+        keep[some[first]] = True
+        of, value = of[keep], value[keep]
+    odd = np.bincount(of * 128 + (value & np.uint64(127)).astype(np.int64), minlength=128 * len(spots)) & 1
+    return np.bincount(of, minlength=len(spots)).astype(np.int32), np.packbits(odd.astype(np.uint8).reshape(-1, 128), axis=1).view(np.int64)
+
+
+def _lines(batch: pa.RecordBatch, bands: int, rows: int):
+    """Lines of MIN_WORDS words or more: the places of their first piece and past their last, hashes, MinHash bands."""
     ids = batch.column(0).to_numpy(zero_copy_only=False)
-    numbers, starts, doc, line = _parts(texts_of(batch.column(1)))
+    words, starts, doc, line = _parts(batch.column(1))
+    numbers = words.numbers
     place = np.arange(len(starts)) - np.searchsorted(doc, doc)
-    span = place[np.searchsorted(line, line)]
-    if whole:
-        head = span == place
-        span = place + np.searchsorted(line, line, side="right") - np.arange(len(starts))
-        starts, doc, place, span = starts[head], doc[head], place[head], span[head]
+    head = np.flatnonzero(np.searchsorted(line, line) == np.arange(len(starts)))
+    past = place[head] + np.diff(np.append(head, len(starts)))
+    starts, doc, place = starts[head], doc[head], place[head]
     sizes = np.diff(np.append(starts, len(numbers)))
     good = sizes >= MIN_WORDS
     if not good.any():
         return (None,)
     h1, h2 = sequence_hashes(numbers, starts)
     run = shingles(numbers, WIDTH)
-    # A paragraph's shingles start in it and end in it.
+    # A line's shingles start in it and end in it.
     spots, last = starts[good], sizes[good] - WIDTH + 1
     bounds = np.stack([spots, spots + last], 1).ravel()
     keys = np.empty((len(spots), bands), np.uint64)
@@ -108,18 +105,37 @@ def _units(batch: pa.RecordBatch, bands: int, rows: int, whole: bool):
             key = mix(key * np.uint64(0x9E3779B97F4A7C15) + np.minimum.reduceat(value, bounds)[::2])
         keys[:, b] = key
     lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, bands, dtype=np.int32)), pa.array(keys.ravel().view(np.int64)))
-    return ids[doc[good]], place[good].astype(np.int32), h1[good].view(np.int64), h2[good].view(np.int64), distinct(run, spots, last), lists, span[good].astype(np.int32)
+    n, odd = distinct(run, spots, last)
+    return ids[doc[good]], place[good].astype(np.int32), h1[good].view(np.int64), h2[good].view(np.int64), n, odd[:, 0].copy(), odd[:, 1].copy(), lists, past[good].astype(np.int32)
+
+
+def _pairs(batch: pa.RecordBatch):
+    """Each two pieces of a line that follow each other and have MIN_WORDS words: their place, hashes, and that of the
+    line's first piece."""
+    ids = batch.column(0).to_numpy(zero_copy_only=False)
+    words, starts, doc, line = _parts(batch.column(1))
+    numbers = words.numbers
+    place = np.arange(len(starts)) - np.searchsorted(doc, doc)
+    head = place[np.searchsorted(line, line)]
+    sizes = np.diff(np.append(starts, len(numbers)))
+    h1, h2 = sequence_hashes(numbers, starts)
+    good = np.flatnonzero((line[1:] == line[:-1]) & (sizes[1:] + sizes[:-1] >= MIN_WORDS))
+    if not len(good):
+        return (None,)
+    h1, h2 = (mix(h[good] * np.uint64(0x9E3779B97F4A7C15) + h[good + 1]) for h in (h1, h2))
+    return ids[doc[good]], place[good].astype(np.int32), h1.view(np.int64), h2.view(np.int64), head[good].astype(np.int32)
 
 
-def _sets(per_doc: DataFrame, source: DataFrame, whole: bool) -> DataFrame:
+def _sets(per_doc: DataFrame, source: DataFrame) -> DataFrame:
     schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("vals", pa.list_(pa.int64()))])
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 0):
             rows = []
-            for text, units in zip(texts_of(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                numbers, starts, _, line = _parts([text])
-                ends = np.append(starts, len(numbers))[np.searchsorted(line, line, side="right") if whole else np.arange(len(starts)) + 1]
+            for k, units in enumerate(batch.column(1).to_pylist()):
+                words, starts, _, line = _parts(batch.column(0).slice(k, 1))
+                numbers = words.numbers
+                ends = np.append(starts, len(numbers))[np.searchsorted(line, line, side="right")]
                 rows += [(u["h1"], u["h2"], np.unique(shingles(numbers[starts[u["unit"]] : ends[u["unit"]]], WIDTH)).view(np.int64)) for u in units if u["unit"] < len(starts)]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else ([], [], []), schema.types, strict=True)], schema=schema)
 
@@ -127,31 +143,43 @@ def _sets(per_doc: DataFrame, source: DataFrame, whole: bool) -> DataFrame:
     return found.groupBy("h1", "h2").agg(F.min("vals").alias("vals")).select(F.struct("h1", "h2").alias("id"), "vals")
 
 
-def _without(batch_text: bytes, gone: list[int]) -> bytes:
-    numbers, starts, _, _ = _parts([batch_text])
-    spans = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", batch_text)]
-    ends = np.append(starts[1:], len(numbers))
+def _repeated(pairs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(doc_id, unit)`` of the pieces that are in a pair equal to an earlier one. ``pairs`` is a kept table."""
+    several = scratch.keep(pairs.groupBy("h1").agg(F.count("*").alias("n")).where("n > 1").select("h1"))
+    some = scratch.keep(pairs.join(small(several), "h1"))
+    firsts = scratch.keep(some.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "unit")).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    gone = some.join(small(firsts, F.lit(4)), ["h1", "h2"]).where("doc_id <> first.doc_id or unit <> first.unit")
+    return gone.select("doc_id", F.explode(F.array("unit", F.col("unit") + 1)).alias("unit"))
+
+
+def _without(text: str, gone: list[int]) -> str:
+    """``text`` without some of its pieces, from each one's first word to the end of its last."""
+    words, starts, _, _ = _parts(pa.array([text]))
+    data = text.encode()
+    first, past = words.starts[starts], np.append(words.starts[starts[1:]], len(data))
     out, at = [], 0
     for k in gone:
         if k < len(starts):
-            a, b = spans[starts[k]][0], spans[ends[k] - 1][1]
-            out.append(batch_text[at:a])
-            at = b
-    out.append(batch_text[at:])
-    return b"".join(out)
+            a, b = int(first[k]), int(past[k])
+            out.append(data[at:a])
+            at = a + len(data[a:b].rstrip(b"\t\n\x0b\x0c\r "))
+    out.append(data[at:])
+    return b"".join(out).decode()
 
 
 def dedup_passages(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """``docs`` with each paragraph that repeats an earlier one taken out of ``text``; the white space around it stays.
-    ``removed array<int>`` has their places (null: none).
+    ``removed array<int>`` has the places of the pieces taken (null: none).
 
-    A paragraph is a line; a line of more than 24 words is cut at places that its own words decide, some 15 words
-    apart, so passages are found wherever they start. Lines of any length are compared as a whole first; then the
-    paragraphs of the lines that stay. Those of 8 words or more with a Jaccard similarity of
-    ``similar`` or more on their 5-word shingles are linked; pairs come from bands of MinHashes, tuned so that 99 of
-    100 such pairs share one, and each pair is verified on the whole sets. Of each connected group the occurrence in
-    the smallest doc_id, first place, stays. A-Z count as a-z. Where a repeated passage begins or ends inside a
-    paragraph, that paragraph's other words can keep it from being linked, and its share of the passage stays.
+    A paragraph is a line. Lines of 8 words or more with a Jaccard similarity of ``similar`` or more on their 5-word
+    shingles are linked; pairs come from bands of MinHashes, tuned so that 99 of 100 such pairs share one, and each
+    pair is verified on the whole sets. Of each connected group the occurrence in the smallest doc_id, first place,
+    stays. A-Z count as a-z.
+
+    Passages repeat inside long lines too. A line of more than 24 words is cut into pieces at places that its own words
+    decide, some 9 words apart, so a passage is cut alike wherever it stands. Of the lines that stay, two pieces in a
+    row that have 8 words or more and equal an earlier two go. A repeated passage loses all but the words
+    before its first cut and after its last.
 
     Null and empty texts stay as they are, as do rows with a null doc_id. Rows that repeat a doc_id are taken for
     one document. No rows give no rows.
@@ -159,48 +187,45 @@ def dedup_passages(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "passages")
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null")
     bands, rows = tune(similar)
-    schema = pa.schema([*[(n, t) for n, t in (("doc_id", pa.int64()), ("unit", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64()), ("n_shingles", pa.int32()))], ("keys", pa.list_(pa.int64())), ("span", pa.int32())])
-
-    def units(whole: bool) -> DataFrame:
-        return source.mapInArrow(by_documents(lambda b: _units(b, bands, rows, whole), schema), UNIT + ", n_shingles int, keys array<long>, span int")
-
-    def lists(units: DataFrame) -> DataFrame:
-        return units.select(F.explode("keys").alias("key"), F.struct("h1", "h2").alias("id"), "n_shingles")
+    unit = [("doc_id", pa.int64()), ("unit", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64())]
+    line_schema = pa.schema([*unit, ("n_shingles", pa.int32()), ("b0", pa.int64()), ("b1", pa.int64()), ("keys", pa.list_(pa.int64())), ("past", pa.int32())])
+    pair_schema = pa.schema([*unit, ("head", pa.int32())])
 
     def near(a: str, b: str):
         na, nb = F.col(f"{a}n_shingles"), F.col(f"{b}n_shingles")
-        return F.least(na, nb) >= F.greatest(na, nb) * (similar - 1e-12)
+        # Shingles that sketches prove to be in one of the two only.
+        apart = sum((F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in ("b0", "b1")), F.lit(0))
+        return (F.least(na, nb) >= F.greatest(na, nb) * (similar - 1e-12)) & ((na + nb - apart) >= (na + nb + apart) * (similar - 1e-12))
 
     def linked(a: str, b: str):
         both = F.size(F.array_intersect(f"{a}vals", f"{b}vals"))
         return both >= (F.size(f"{a}vals") + F.size(f"{b}vals") - both) * (similar - 1e-12)
 
-    def places(units: DataFrame, whole: bool, scratch: Scratch) -> DataFrame:
-        gone = removals(units, lists, lambda per_doc: _sets(per_doc, source, whole), scratch, linked=linked, near=near)
-        return gone.select("doc_id", F.explode("gone").alias("unit"))
-
     of_lines = Scratch(docs.sparkSession, "passage-lines")
-    every = of_lines.keep(units(True))
-    long = scratch.keep(every.where("span > unit + 1").groupBy("doc_id", "unit").agg(F.max("span").alias("span")))
-    lines = scratch.keep(places(every, True, of_lines))
+    every = of_lines.keep(source.mapInArrow(by_documents(lambda b: _lines(b, bands, rows), line_schema), UNIT + ", n_shingles int, b0 long, b1 long, keys array<long>, past int"))
+    long = scratch.keep(every.where("past > unit + 1").groupBy("doc_id", "unit").agg(F.max("past").alias("past")))
+    gone = removals(every.drop("past"), lambda per_doc: _sets(per_doc, source), of_lines, linked=linked, near=near)
+    lines = scratch.keep(gone.select("doc_id", F.explode("gone").alias("unit")))
     of_lines._clear()
     scratch.settle()
-    # What is in a line that goes is no occurrence of a paragraph that could stay for others.
-    left = units(False).join(lines.select("doc_id", F.col("unit").alias("span")), ["doc_id", "span"], "left_anti")
-    parts = places(scratch.keep(left), False, scratch)
-    past = F.coalesce("span", F.col("unit") + 1)
+    # What is in a line that goes is no occurrence of a passage that could stay for others.
+    pairs = source.mapInArrow(by_documents(_pairs, pair_schema), UNIT + ", head int")
+    left = pairs.join(small(lines, F.lit(2)).withColumnRenamed("unit", "head"), ["doc_id", "head"], "left_anti").drop("head")
+    parts = _repeated(scratch.keep(left), scratch)
+    past = F.coalesce("past", F.col("unit") + 1)
     lines = lines.join(long, ["doc_id", "unit"], "left").select("doc_id", F.explode(F.sequence("unit", past - 1)).alias("unit"))
     gone = lines.unionByName(parts).groupBy("doc_id").agg(F.sort_array(F.collect_set("unit")).alias("gone"))
-    gone = gone.select(F.col("doc_id").alias("_doc"), F.col("gone").alias("_gone"))
+    doc, taken = free(docs, "doc"), free(docs, "gone")
+    gone = gone.select(F.col("doc_id").alias(doc), F.col("gone").alias(taken))
     columns = [c for c in docs.columns if c != "removed"]
 
     @F.pandas_udf("string")
     def without(texts, gone):
         import pandas as pd
 
-        return pd.Series([t if g is None or t is None else _without(t.encode(), list(g)).decode() for t, g in zip(texts, gone, strict=True)])
+        return pd.Series([t if g is None or t is None else _without(t, list(g)) for t, g in zip(texts, gone, strict=True)])
 
-    kept = docs.join(gone, docs["doc_id"] == F.col("_doc"), "left").select(*[docs[c] for c in columns], F.col("_gone").alias("removed"))
+    kept = docs.join(gone, docs["doc_id"].cast("long") == F.col(doc), "left").select(*[docs[c] for c in columns], F.col(taken).alias("removed"))
     # Only texts that lose something go through Python.
     changed = kept.where("removed is not null").withColumn("text", without("text", "removed"))
     if "n_chars" in columns:

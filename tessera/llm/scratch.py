@@ -7,12 +7,21 @@ from pyspark.sql import functions as F
 
 from tessera.operators.scratch import Scratch, is_empty, partitions, shared_folder
 
-__all__ = ["Scratch", "is_empty", "partitions", "shared_folder", "small"]
+__all__ = ["Scratch", "free", "is_empty", "partitions", "shared_folder", "small"]
 
 #: Numbers in a table that is sent to all executors at most: some 20 MB.
 SMALL = 500_000
 
 
+def free(frame: DataFrame, name: str) -> str:
+    """A column name made from ``name`` that ``frame`` doesn't have, in whatever case."""
+    taken = {c.lower() for c in frame.columns}
+    name = f"_{name}"
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def small(frame: DataFrame, size=None) -> DataFrame:
     """``frame`` marked for broadcast if it was counted to hold SMALL numbers at most; else as it is, to be shuffled.
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.components import group_by_links
 from tessera.llm.scratch import Scratch, small
-from tessera.llm.words import mix
+from tessera.llm.words import mix, slices
 
 _STEP = (np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F))
 UNIT = "doc_id long, unit int, h1 long, h2 long"
@@ -26,43 +26,50 @@ def sequence_hashes(numbers: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray
     return tuple(np.add.reduceat(mix(numbers ^ (place * step + step)), starts) for step in _STEP)  # type: ignore[return-value]
 
 
-def by_documents(unit_batch: Callable, schema: pa.Schema, rows: int = 256):
-    """A mapInArrow function that gives ``unit_batch`` the ids and texts of ``rows`` documents at a time."""
+def by_documents(unit_batch: Callable, schema: pa.Schema):
+    """A mapInArrow function that gives ``unit_batch`` the ids and texts of some documents at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, rows):
-                got = unit_batch(whole.slice(at, rows))
-                if got[0] is not None and len(got[0]):
-                    yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(got, schema.types, strict=True)], schema=schema)
+        for batch in slices(batches, 1, 512, 1 << 21):
+            got = unit_batch(batch)
+            if got[0] is not None and len(got[0]):
+                yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(got, schema.types, strict=True)], schema=schema)
 
     return run
 
 
 def removals(
     units: DataFrame,
-    lists: Callable[[DataFrame], DataFrame],
     payload: Callable[[DataFrame], DataFrame],
     scratch: Scratch,
     **link,
 ) -> DataFrame:
     """``(doc_id, gone array<int>)``: the units of each document that repeat an earlier one.
 
-    ``units(doc_id, unit, h1, h2, ...)``, a kept table that is deleted once it is read, is every unit. Equal hashes are one text; ``lists`` gives the inverted lists
-    ``(key, id struct<h1, h2>, ...)`` of the units and ``payload`` what comparing some of them needs, from
-    ``(doc_id, units array<struct<h1, h2, unit>>)``. Of each
+    ``units(doc_id, unit, h1, h2, keys, *small)``, a kept table that is deleted once it is read, is every unit with the
+    keys of the inverted lists that it is in and the small columns that comparing two needs. Equal hashes are one text;
+    ``payload`` gives what else comparing some texts needs, from ``(doc_id, units array<struct<h1, h2, unit>>)``. Of each
     connected group of texts the occurrence with the smallest document and place stays.
     """
     first = F.min(F.struct("doc_id", "unit")).alias("first")
+    small_columns = [c for c in units.columns if c not in ("doc_id", "unit", "h1", "h2", "keys")]
+    texts = scratch.keep(units.select("h1", "h2", "keys", *small_columns).dropDuplicates(["h1", "h2"]))
     every, units = units, scratch.keep(units.select("doc_id", "unit", "h1", "h2"))
-    twice = scratch.keep(units.groupBy("h1", "h2").agg(first, F.count("*").alias("n")).where("n > 1"))
-    # A key of one unit alone links nothing: numbers of units are counted by key before anything else moves.
-    keyed = lists(every)
-    several = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    listed = scratch.keep(keyed.join(several, "key").distinct())
-    shared = listed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key")
-    listed = scratch.keep(listed.join(shared, "key"))
     scratch.drop(every)
+    twice = scratch.keep(units.groupBy("h1", "h2").agg(first, F.count("*").alias("n")).where("n > 1"))
+    # A key of one text alone links nothing: keys are counted before anything else moves, and nothing moves with them
+    # but the text's name.
+    keyed = texts.select(F.explode("keys").alias("key"), "h1", "h2")
+    several = scratch.keep(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
+    listed = scratch.keep(keyed.join(small(several), "key").distinct())
+    # Near copies share many keys: of lists with the same members one is enough.
+    own = F.xxhash64("h1", "h2")
+    one = listed.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(own).alias("x"), F.min(own).alias("low"), F.max(own).alias("high"))
+    listed = scratch.keep(listed.join(one.groupBy("n", "x", "low", "high").agg(F.min("key").alias("key")).select("key"), "key"))
+    some = scratch.keep(listed.select("h1", "h2").distinct())
+    small_of = scratch.keep(texts.select("h1", "h2", *small_columns).join(small(some, F.lit(2)), ["h1", "h2"]))
+    listed = scratch.keep(listed.join(small(small_of, F.lit(2 + len(small_columns))), ["h1", "h2"]).select("key", F.struct("h1", "h2").alias("id"), *small_columns))
+    scratch.drop(texts, some, small_of)
     scratch.settle()
 
     def firsts(ids: DataFrame) -> DataFrame:
