@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 
 _HEAD = 7
+#: Positions that one comparison is carried along.
+CHAIN = 32
 
 
 def suffix_array(text: np.ndarray, ends: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -62,12 +64,15 @@ def suffix_array(text: np.ndarray, ends: np.ndarray, depth: int) -> tuple[np.nda
         h *= 2
 
 
-def common_prefixes(text: np.ndarray, ends: np.ndarray, starts: np.ndarray, stops: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
+def common_prefixes(text: np.ndarray, ends: np.ndarray, starts: np.ndarray, stops: np.ndarray, order: np.ndarray, rank: np.ndarray, depth: int) -> np.ndarray:
     """For each position from ``starts[j]`` to before ``stops[j]``, the length of the prefix, up to ``depth``, that it
     shares with the suffix before it in ``order``; -1 elsewhere.
 
     Kasai's method: along a text the shared length falls by one at most from one position to the next, so each
-    comparison resumes where the last one stopped. All texts step together, and compare eight bytes at a time.
+    comparison resumes where the last one stopped. Stretches of CHAIN positions step together, whatever text they are
+    in, and compare eight bytes at a time; only the first of a stretch starts from nothing. Suffixes of one rank are
+    equal as far as they were sorted, in an order that says nothing of those one position on, so the position after
+    one of them starts from nothing too.
     """
     n = len(text)
     out = np.full(n, -1, np.int64)
@@ -77,16 +82,18 @@ def common_prefixes(text: np.ndarray, ends: np.ndarray, starts: np.ndarray, stop
     wide[:n] = text
     eight = np.lib.stride_tricks.as_strided(wide, (n + 1, 8), (1, 1))
     eight = np.ascontiguousarray(eight[:n]).view(np.uint64).ravel()
+    chains = np.maximum(-(-(stops - starts) // CHAIN), 0)
+    starts = np.repeat(starts, chains) + CHAIN * (np.arange(chains.sum()) - np.repeat(np.cumsum(chains) - chains, chains))
+    stops = np.minimum(starts + CHAIN, np.repeat(stops, chains))
     shared = np.zeros(len(starts), np.int64)
     at = starts.copy()
     rows = np.flatnonzero(at < stops)
     while len(rows):
         here = at[rows]
         other = before[here]
-        got = np.maximum(shared[rows] - 1, 0)
-        got[other < 0] = 0
+        tied = (other >= 0) & (rank[here] == rank[other])
         room = np.minimum(np.minimum(ends[here] - here, np.where(other >= 0, ends[other] - other, 0)), depth)
-        got = np.minimum(got, room)
+        got = np.where(tied, room, np.minimum(np.maximum(shared[rows] - 1, 0), room))
         run = np.flatnonzero(got + 8 <= room)
         while len(run):
             same = eight[here[run] + got[run]] == eight[other[run] + got[run]]
@@ -100,7 +107,7 @@ def common_prefixes(text: np.ndarray, ends: np.ndarray, starts: np.ndarray, stop
             got[run] += 1
             run = run[got[run] < room[run]]
         out[here] = got
-        shared[rows] = got
+        shared[rows] = np.where(tied, 0, got)
         at[rows] += 1
         rows = rows[at[rows] < stops[rows]]
     return out
