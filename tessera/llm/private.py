@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.scratch import free
+
 ROUNDS = 8
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 #: One alternative per kind, in order of precedence. No alternative can start within a word, so none rescans one.
@@ -46,8 +48,28 @@ def feistel_pair(key: str, kind: str, x: Column, x_size: int, y: Column, y_size:
     return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, turn)
 
 
-def feistel_text(key: str, kind: Column, text: Column) -> Column:
-    """A keyed permutation of the strings with the same digits, capitals and small letters in the same places."""
+#: First and last of runs of code points that are all letters, of the scripts most in use.
+LETTERS = [
+    (0x00C0, 0x00D6), (0x00D8, 0x00F6), (0x00F8, 0x00FF), (0x0100, 0x024F), (0x0391, 0x03A1), (0x03A3, 0x03CE),
+    (0x0400, 0x0481), (0x0531, 0x0556), (0x0561, 0x0587), (0x05D0, 0x05EA), (0x0620, 0x064A), (0x0904, 0x0939),
+    (0x0E01, 0x0E30), (0x10D0, 0x10FA), (0x3041, 0x3096), (0x30A1, 0x30FA), (0x4E00, 0x9FFF), (0xAC00, 0xD7A3),
+]
+
+
+def _wide(c: Column, by: Column) -> Column:
+    """A letter beyond ASCII, moved within its run of letters; of one outside all runs, a small letter."""
+    code = F.ascii(c)
+    new = F.when(F.lit(False), code)
+    for low, high in LETTERS:
+        new = new.when(c.between(chr(low), chr(high)), F.lit(low) + (code - low + by) % (high - low + 1))
+    return F.coalesce(F.decode(F.unhex(F.lpad(F.hex(new), 4, "0")), "UTF-16BE"), F.char(97 + by % 26))
+
+
+def feistel_text(key: str, kind: Column, text: Column, wide: bool = False) -> Column:
+    """A keyed permutation of the strings with the same digits, capitals and small letters in the same places.
+
+    With ``wide``, letters beyond ASCII are permuted within their script's run of letters; those of scripts without a
+    run become small letters, which can't be inverted."""
     half = F.floor(F.length(text) / 2).cast("int")
     start = F.struct(F.substr(text, F.lit(1), half).alias("a"), F.substr(text, half + 1).alias("b"))
 
@@ -56,7 +78,7 @@ def feistel_text(key: str, kind: Column, text: Column) -> Column:
             by = _number(F.substr(draw, (i % 42) * 3 + 1, F.lit(3))).cast("int")
             code = F.ascii(c)
             turned = lambda low, size: F.char(F.lit(low) + (code - low + by) % size)
-            return F.when(c.between("0", "9"), turned(48, 10)).when(c.between("a", "z"), turned(97, 26)).when(c.between("A", "Z"), turned(65, 26)).otherwise(c)
+            return F.when(c.between("0", "9"), turned(48, 10)).when(c.between("a", "z"), turned(97, 26)).when(c.between("A", "Z"), turned(65, 26)).otherwise(_wide(c, by) if wide else c)
 
         return F.when(F.length(part) == 0, part).otherwise(F.array_join(F.transform(F.split(part, ""), one), ""))
 
@@ -203,7 +225,7 @@ def _some(key: str, kind: str, match: Column, fixed: str) -> Column:
 def _email(key: str, match: Column) -> Column:
     end = F.regexp_extract(match, r"(\.[A-Za-z]+)$", 1)
     rest = F.substr(match, F.lit(1), F.length(match) - F.length(end))
-    return F.concat(refilled(rest, feistel_text(key, F.lit("email"), F.regexp_replace(rest, "[^A-Za-z0-9]", "")), "[A-Za-z0-9]"), end)
+    return F.concat(refilled(rest, feistel_text(key, F.lit("email"), F.regexp_replace(rest, r"[^\p{L}0-9]", ""), wide=True), r"[\p{L}0-9]"), end)
 
 
 def kind_of(match: Column) -> Column:
@@ -235,7 +257,7 @@ def pseudonym(key: str, match: Column, kind: Column) -> Column:
     )
 
 
-def pseudonymize(docs: DataFrame, key: str = "tessera") -> DataFrame:
+def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with private data in ``text`` replaced, and ``private``, its ``(kind, pseudonym)`` in order.
 
     Found are e-mail addresses, secrets after a known prefix or name, account numbers (IBAN), dates, IPv4 addresses,
@@ -245,29 +267,36 @@ def pseudonymize(docs: DataFrame, key: str = "tessera") -> DataFrame:
     So the length and signs stay, equal values get equal pseudonyms in all documents, different values different
     ones, and whoever has the key can invert it.
 
-    Null text stays null with no findings; empty text stays empty. Columns named like the new one give way;
-    ``n_chars``, where there is one, is counted again. Each row is on its own, whatever its id.
+    Null text stays null with no findings; empty text stays empty. A column ``private`` gives way to the new one, all
+    others stay; ``n_chars``, where there is one, is counted again. Each row is on its own, whatever its id, repeated
+    rows too. No rows give no rows.
     """
+    if not key:
+        raise ValueError("pseudonyms need a key")
     columns = [c for c in docs.columns if c != "private"]
     # Whatever is found has a digit or an @, or follows one of a few names.
     may = F.coalesce(F.col("text").rlike(r"[0-9@]|(?i:token|secret|passw|api_?key)"), F.lit(False))
     found = F.when(may, F.regexp_extract_all("text", F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    step = docs.withColumn("_found", found)
-    named = F.transform("_found", lambda m: F.struct(m.alias("m"), kind_of(m).alias("kind")))
-    step = step.withColumn("_named", named)
-    new = F.transform("_named", lambda z: F.struct(z["kind"].alias("kind"), pseudonym(key, z["m"], z["kind"]).alias("pseudonym")))
-    step = step.withColumn("_new", new)
+    raw, named, new = (free(docs, n) for n in ("found", "named", "new"))
+    step = docs.withColumn(raw, found)
+    step = step.withColumn(named, F.transform(raw, lambda m: F.struct(m.alias("m"), kind_of(m).alias("kind"))))
+    step = step.withColumn(new, F.transform(named, lambda z: F.struct(z["kind"].alias("kind"), pseudonym(key, z["m"], z["kind"]).alias("pseudonym"))))
     gaps = F.split("text", PATTERN, -1)
-    filled = F.array_join(F.zip_with(gaps, F.col("_new"), lambda g, z: F.concat(g, F.coalesce(z["pseudonym"], F.lit("")))), "")
-    text = F.when(F.size("_new") > 0, filled).otherwise(F.col("text"))
-    out = {c: F.col(c) for c in columns} | {"text": text}
+    filled = F.array_join(F.zip_with(gaps, F.col(new), lambda g, z: F.concat(g, F.coalesce(z["pseudonym"], F.lit("")))), "")
+    text = F.when(F.size(new) > 0, filled).otherwise(F.col("text"))
+    out = {c: step[c] for c in columns} | {"text": text}
     if "n_chars" in out:
-        out["n_chars"] = F.when(F.size("_new") > 0, F.length(text).cast("long")).otherwise(F.col("n_chars"))
-    return step.select(*[c.alias(n) for n, c in out.items()], F.filter("_new", lambda z: z["kind"].isNotNull()).alias("private"))
+        out["n_chars"] = F.when(F.size(new) > 0, F.length(text).cast("long")).otherwise(F.col("n_chars"))
+    return step.select(*[c.alias(n) for n, c in out.items()], F.filter(new, lambda z: z["kind"].isNotNull()).alias("private"))
+
+
+def key_of(spark: SparkSession) -> str:
+    """The key that ``spark.tessera.pseudonym.key`` names; a known one, which hides nothing, where it is unset, as in tests."""
+    return spark.conf.get("spark.tessera.pseudonym.key", None) or "a key for tests"
 
 
 def query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    out = pseudonymize(docs)
+    out = pseudonymize(docs, key_of(spark))
     return out.select("doc_id", F.size("private").alias("n_private"), F.transform("private", lambda z: z["kind"]).alias("kinds"),
                       F.transform("private", lambda z: z["pseudonym"]).alias("pseudonyms"), F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
