@@ -25,7 +25,7 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def private_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Private data gives way to pseudonyms."""
-    return private.pseudonymize(docs).select(*docs.columns)
+    return private.pseudonymize(docs, private.key_of(spark)).select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
