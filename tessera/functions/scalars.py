@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import decimal
 import hashlib
 import json
 
@@ -51,11 +50,14 @@ def log_uniform(low: float, high: float, uniform: Column) -> Column:
 
 
 def iteration_cap(width: Column) -> Column:
-    """4000 (1 + 0.3 log2(3 / width)), between 200 and 67000, truncated."""
-    return F.least(F.greatest(4000 * (1 + 0.3 * F.log2(3 / width)), F.lit(200.0)), F.lit(67000.0)).cast("long")
+    """4000 (1 + 0.3 log2(3 / width)), between 200 and 67000, truncated; 4000 where the width is no positive number."""
+    usable = F.coalesce(~F.isnan(width) & (width > 0), F.lit(False))
+    return F.when(~usable, F.lit(4000)).otherwise(F.least(F.greatest(4000 * (1 + 0.3 * F.log2(3 / width)), F.lit(200.0)), F.lit(67000.0)).cast("long")).cast("long")
 
 
 def transfer(kind: Column, x: Column) -> Column:
+    """A curve of what lies from 0 to 1; beyond, its ends."""
+    x = F.least(F.greatest(x, F.lit(0.0)), F.lit(1.0))
     return F.when(kind == "sqrt", F.sqrt(x)).when(kind == "log", F.log1p(x) / F.ln(F.lit(2.0))).when(kind == "smoothstep", x * x * (3 - 2 * x)).otherwise(x)
 
 
@@ -106,22 +108,6 @@ def content_digest(*cols: Column) -> Column:
     return F.substring(F.sha2(F.concat_ws("|", *cols), 256), 1, 16)
 
 
-def smallest_text(value: str | None) -> str | None:
-    """Plain notation of a decimal text without zeros at its end, at 28 digits; what is no number stays."""
-    if value is None:
-        return None
-    try:
-        plain = format(decimal.Context(prec=28).create_decimal(value).normalize(decimal.Context(prec=28)), "f")
-    except decimal.InvalidOperation:
-        return value
-    return "0" if plain.lstrip("-").replace("0", "").replace(".", "") == "" else plain
-
-
-@F.pandas_udf(T.StringType())
-def canonical_decimal(values):
-    return values.map(smallest_text)
-
-
 @F.pandas_udf(T.LongType())
 def stable_id(keys):
     """52 bits of the BLAKE2b digest of a key's JSON text."""
@@ -137,3 +123,62 @@ def split_mix(values):
     z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return pd.Series((z ^ (z >> np.uint64(31))).view("int64"))
+
+
+@F.pandas_udf(T.LongType())
+def sub_seed(seeds, ids):
+    """A node's stream: the mixer of the seed and the node's number times the golden ratio (fixed value)."""
+    import pandas as pd
+
+    z = seeds.to_numpy("int64").view("uint64") ^ (ids.to_numpy("int64").view("uint64") * np.uint64(0x9E3779B97F4A7C15))
+    return split_mix.func(pd.Series(z.view("int64")))
+
+
+@F.pandas_udf(T.StringType())
+def long_digest(keys):
+    """128 bits of the BLAKE2b digest of a key's JSON text, as hexadecimal digits; the first 12 name a seed."""
+    return keys.map(lambda k: None if k is None else hashlib.blake2b(json.dumps(k).encode(), digest_size=16).hexdigest())
+
+
+def ulps(step: Column, magnitude: Column) -> Column:
+    """How many representable numbers lie between two samples ``step`` apart at ``magnitude``."""
+    return step / F.pow(F.lit(2.0), F.floor(F.log2(F.abs(magnitude))) - 52)
+
+
+def clamp01(x: Column) -> Column:
+    return F.least(F.greatest(x, F.lit(0.0)), F.lit(1.0))
+
+
+def light_kept(kind: Column, r: Column, g: Column, b: Column) -> Column:
+    """``struct<r, g, b>`` of linear light, scaled so that its luminance follows the roll-off's curve (fixed weights),
+    within 0 to 1; without a curve, or of black, as it is."""
+    y = 0.2126 * r + 0.7152 * g + 0.0722 * b
+    plain = ~kind.isin("soft", "reinhard", "aces") | (y <= 1e-9)
+    scale = rolloff(kind, y) / y
+    return F.struct(*[F.when(plain, c).otherwise(clamp01(c * scale)).alias(n) for n, c in (("r", r), ("g", g), ("b", b))])
+
+
+def merged(kind: Column, under_first: Column, over: Column, under: Column) -> Column:
+    """A blend whose arguments come in one order or the other."""
+    return F.when(under_first, blend(kind, under, over)).otherwise(blend(kind, over, under))
+
+
+#: The way back from Oklab, two matrices, fixed values.
+FROM_LAB = ((1.0, 0.3963377774, 0.2158037573), (1.0, -0.1055613458, -0.0638541728), (1.0, -0.0894841775, -1.2914855480))
+FROM_LMS = ((4.0767416621, -3.3077115913, 0.2309699292), (-1.2684380046, 2.6097574011, -0.3413193965), (-0.0041960863, -0.7034186147, 1.7076147010))
+
+
+def from_oklab(l: Column, a: Column, b: Column) -> Column:
+    """``struct<r, g, b>`` of linear light."""
+    cubes = [F.pow(m[0] * l + m[1] * a + m[2] * b, F.lit(3.0)) for m in FROM_LAB]
+    return F.struct(*[(m[0] * cubes[0] + m[1] * cubes[1] + m[2] * cubes[2]).alias(n) for m, n in zip(FROM_LMS, "rgb", strict=True)])
+
+
+def sector_address(symbols: Column, base: int) -> Column:
+    """Symbols of successive steps as the digits of a number from 0 to 1."""
+    return F.aggregate(symbols, F.struct(F.lit(0.0).alias("v"), F.lit(1.0 / base).alias("w")), lambda s, d: F.struct((s["v"] + d * s["w"]).alias("v"), (s["w"] / base).alias("w")), lambda s: s["v"])
+
+
+def tone_projection(x: Column, low: Column, high: Column) -> Column:
+    """``struct<value, side>``: what a band leaves of ``x``, and on which side it was cut (-1, 0, 1)."""
+    return F.struct(F.least(F.greatest(x, low), high).alias("value"), F.when(x < low, -1).when(x > high, 1).otherwise(0).alias("side"))

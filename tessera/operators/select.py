@@ -24,18 +24,64 @@ def placed(rows: DataFrame, coarse: Column, order: list) -> DataFrame:
     return cut.join(offset, "_c").withColumn("place", (F.col("_before") + own).cast("int")).drop("_c", "_before")
 
 
-def best_first(part: list[str], score: str, key: str) -> Column:
-    return F.row_number().over(Window.partitionBy(*part).orderBy(F.coalesce(score, F.lit(-1.0)).desc(), key))
+def best_first_by(part: str, score: str, keys: list[str]) -> Column:
+    """Place from 1 by falling score; a null one counts as -1."""
+    return F.row_number().over(Window.partitionBy(part).orderBy(F.coalesce(score, F.lit(-1.0)).desc(), *keys))
 
 
-def capped_top(rows: DataFrame, part: str, group: str, score: str, key: str, slots: int, group_cap: int = 2, bar: float | None = None) -> DataFrame:
-    """Best first per partition, at most ``group_cap`` of a group and ``slots`` in all, none below ``bar``.
+def entries(rows: DataFrame, number: str, part: str, group: str, score: str) -> DataFrame:
+    """Scored rows as the selection reads them: ``(id, part, group, score)``; the id is the number in four digits at
+    least, and a row without a group is a group of its own."""
+    own = F.coalesce(F.concat(F.lit("group#"), F.col(group).cast("string")), F.concat(F.lit("unplaced#"), F.col(number).cast("string")))
+    return rows.where(F.col(score).isNotNull()).select(F.format_string("%04d", F.col(number).cast("long")).alias("id"), F.col(part).alias("part"), own.alias("group"), F.col(score).cast("double").alias("score"))
 
-    Taking greedily in order of score is, group by group, keeping the best few, then the best of those.
+
+def budgeted(slots: DataFrame) -> DataFrame:
+    """``(part, slots, cap, guaranteed)`` with ``budget``: slots under the cap (null: none), one at least where a slot is
+    guaranteed."""
+    plain = F.least(F.col("slots"), F.coalesce("cap", F.col("slots")))
+    owed = F.coalesce("guaranteed", F.lit(False)) & (F.col("slots") >= 1)
+    return slots.withColumn("owed", owed).withColumn("budget", F.when(owed, F.greatest(plain, F.lit(1))).otherwise(plain))
+
+
+def release(candidates: DataFrame, slots: DataFrame, cluster_cap: int = 2, bar: float | None = None, used: DataFrame | None = None) -> DataFrame:
+    """The log of a release: every row looked at, best first per partition, until the partition's budget is picked.
+
+    ``candidates(id, part, group, score)``, ``slots(part, slots, cap, guaranteed)``; a partition without slots gives
+    nothing. Rows below ``bar`` are skipped, and so are those whose group has ``cluster_cap`` picks; ``used(group, n)``
+    are picks of earlier passes. A group lies within one partition (grouping embeds the plane), so taking greedily is,
+    group by group, keeping the first few over the bar, then the first of those. Ties by id.
     """
-    good = rows if bar is None else rows.where(F.coalesce(F.col(score) >= bar, F.lit(False)))
-    inner = good.withColumn("_g", best_first([part, group], score, key)).where(F.col("_g") <= group_cap)
-    return inner.withColumn("place", best_first([part], score, key)).where(F.col("place") <= slots).drop("_g")
+    order = [F.desc("score"), "id"]
+    by = Window.partitionBy("part").orderBy(*order)
+    before = by.rowsBetween(Window.unboundedPreceding, -1)
+    rows = candidates.join(F.broadcast(budgeted(slots).select("part", "slots", "cap", "owed", "budget")), "part")  # a row per partition
+    rows = rows.join(used.select("group", F.col("n").alias("_used")), "group", "left") if used is not None else rows.withColumn("_used", F.lit(0))
+    good = F.lit(True) if bar is None else F.coalesce(F.col("score") >= bar, F.lit(False))
+    rows = rows.withColumn("_used", F.coalesce("_used", F.lit(0))).withColumn("_good", good).withColumn("rank", F.row_number().over(by) - 1)
+    count = F.sum(F.col("_good").cast("int")).over(Window.partitionBy("part", "group").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.withColumn("group_count", F.col("_used") + count).withColumn("_ok", F.col("_good") & (F.col("group_count") <= cluster_cap))
+    rows = rows.withColumn("_taken", F.coalesce(F.sum(F.col("_ok").cast("int")).over(before), F.lit(0))).where("_taken < budget")
+    skipped = F.when(~F.col("_good"), "below_bar").when(~F.col("_ok"), "cluster_cap")
+    source = F.when(F.col("_ok"), F.when(F.col("owed") & (F.col("_taken") == 0), "guarantee").otherwise("mix"))
+    return rows.select("id", "part", "group", "rank", "score", F.col("_ok").alias("picked"), skipped.alias("skipped"), source.alias("slot_source"), F.when(F.col("_ok"), F.col("group_count")).cast("long").alias("group_count"))
+
+
+def fills(log: DataFrame, candidates: DataFrame, slots: DataFrame) -> DataFrame:
+    """Per partition with slots: what was planned, seated and left, and why, the first cause that applies; null where
+    nothing is left."""
+    seen = log.groupBy("part").agg(F.count_if("picked").alias("seated"), F.count_if(F.col("skipped") == "below_bar").alias("below_bar"), F.count_if(F.col("skipped") == "cluster_cap").alias("cluster_cap"))
+    eligible = candidates.groupBy("part").agg(F.count("*").alias("eligible"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    all_ = budgeted(slots).where("slots > 0").join(seen, "part", "left").join(eligible, "part", "left")
+    all_ = all_.select("part", F.col("slots").cast("long").alias("planned"), F.col("budget").cast("long").alias("budget"), *map(zero, ("eligible", "seated", "below_bar", "cluster_cap")))
+    return all_.withColumn("unfilled", F.greatest(F.col("planned") - F.col("seated"), F.lit(0))).withColumn("reason", fill_reason(*map(F.col, ("unfilled", "seated", "budget", "below_bar", "cluster_cap"))))
+
+
+def served(rows: DataFrame, part: str, head: str, score: str, key: str) -> DataFrame:
+    """Rows with ``verdict`` released, a ``picture``, and nothing in ``rejected``, in the order of ``interleaved``."""
+    good = (F.col("verdict") == "released") & F.col("picture").isNotNull() & F.col("rejected").isNull()
+    return interleaved(rows.where(good), part, head, score, key)
 
 
 def interleaved(rows: DataFrame, part: str, head: str, score: str, key: str) -> DataFrame:
@@ -44,8 +90,10 @@ def interleaved(rows: DataFrame, part: str, head: str, score: str, key: str) ->
     return placed(rows.withColumn("rank", F.row_number().over(cell)), F.col("rank"), [part, head, key])
 
 
-def fill_reason(below_bar: Column, capped: Column, filled: Column, budget: Column) -> Column:
-    return F.when(filled >= budget, "supply_cap").when(below_bar > 0, "below_bar").when(capped > 0, "cluster_cap").otherwise("no_candidates")
+def fill_reason(unfilled: Column, seated: Column, budget: Column, below_bar: Column, capped: Column) -> Column:
+    """Why slots stay empty; null where none does."""
+    short = F.when(below_bar > 0, "below_bar").when(capped > 0, "cluster_cap").otherwise("no_candidates")
+    return F.when(unfilled > 0, F.when(seated < budget, short).otherwise("supply_cap"))
 
 
 def stratified(rows: DataFrame, cells: list[str], key: str, n: int, seed: int) -> DataFrame:

@@ -11,8 +11,7 @@ from tessera.functions import kernel as K
 from tessera.sources.tables import table
 
 QUERIES, ORACLES = {}, {}
-FRAME = "id long, kind string, degree int, re double, im double, width double, c_re double, c_im double"
-STATS = "id long, interior double, median double, p5 double, p95 double, low double, high double, occupancy double, fate string"
+STATS = "id long, interior double, escaped long, median double, p5 double, p95 double, spread double, low double, high double, occupancy double, fate string"
 
 
 def query(sql: str | None = None):
@@ -25,17 +24,58 @@ def query(sql: str | None = None):
     return add
 
 
+def family_of(r) -> K.Family:
+    return K.Family(r.kind, r.degree, complex(r.c_re, r.c_im), complex(r.p_re, r.p_im))
+
+
 def measured(frames: DataFrame, columns: int = 96, rows: int = 54, limit: int = 200) -> DataFrame:
     """Statistics of each frame; a frame is a unit of work, so tasks scale with frames."""
 
     def run(batches):
         for pdf in batches:
-            out = [{"id": r.id} | K.frame(complex(r.re, r.im), r.width, r.kind, r.degree, complex(r.c_re, r.c_im), 0j, columns, rows, limit) for r in pdf.itertuples()]
-            yield pd.DataFrame(out, columns=[c.split()[0] for c in STATS.split(", ")])
+            out = [{"id": r.id} | K.frame(complex(r.re, r.im), r.width, family_of(r), columns, rows, limit) for r in pdf.itertuples()]
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in STATS.split(", ")]).astype({"escaped": "Int64"})
 
     return frames.mapInPandas(run, STATS)
 
 
+def gathered(frames: DataFrame, fields: tuple[str, ...], reductions: tuple[str, ...], columns: int = 48, rows: int = 27, limit: int = 100) -> DataFrame:
+    """Mean and number of values of each field of each frame."""
+    schema = "id long, field string, n long, mean double, low double, high double"
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples():
+                got = K.gather(K.grid(complex(r.re, r.im), r.width, columns, rows), family_of(r), limit, fields, reductions)
+                for name, v in got.items():
+                    if name != "interior":
+                        good = v[np.isfinite(v)]
+                        low, span = K.colour.stretch(v)
+                        out.append((r.id, name, good.size, float(good.mean()) if good.size else None, low, low + span))
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
+
+    return frames.mapInPandas(run, schema)
+
+
+def pictured(frames: DataFrame, modes: dict[str, dict], columns: int = 64, rows: int = 36, limit: int = 100) -> DataFrame:
+    """Each frame in each mode, resampled from twice its size: its occupancy and mean colour."""
+    schema = "id long, mode string, occupancy double, red double, green double, blue double"
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples():
+                points = K.grid(complex(r.re, r.im), r.width, 2 * columns, 2 * rows)
+                for name, mode in modes.items():
+                    linear = K.drawn(points, family_of(r), limit, mode)
+                    picture = K.colour.resampled(linear, columns, rows)
+                    out.append((r.id, name, K.occupancy(picture), *picture.reshape(-1, 3).mean(0).tolist()))
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
+
+    return frames.mapInPandas(run, schema)
+
+
 def frames(spark, d) -> DataFrame:
     """One frame per supplier, on the boundary of a family's main body."""
     k = F.col("s_suppkey")
@@ -43,12 +83,49 @@ def frames(spark, d) -> DataFrame:
     kind = F.when(k % 3 == 0, "multibrot").when(k % 3 == 1, "julia").otherwise("phoenix")
     degree = F.when(k % 3 == 2, 2).otherwise(2 + (k % 2)).cast("int")
     return table(spark, d, "supplier").select(k.alias("id"), kind.alias("kind"), degree.alias("degree"), (F.cos(t) / 2 - F.cos(2 * t) / 4).alias("re"), (F.sin(t) / 2 - F.sin(2 * t) / 4).alias("im"),
-                                              F.pow(F.lit(10.0), -(k % 4)).alias("width"), F.lit(-0.4).alias("c_re"), F.lit(0.6).alias("c_im"))
+                                              F.pow(F.lit(10.0), -(k % 4)).alias("width"), F.when(k % 3 == 2, 0.5667).otherwise(-0.4).alias("c_re"), F.when(k % 3 == 2, 0.0).otherwise(0.6).alias("c_im"),
+                                              F.lit(-0.5).alias("p_re"), F.lit(0.0).alias("p_im"))
+
+
+def dealt(spark, d) -> DataFrame:
+    return frames(spark, d).repartition(spark.sparkContext.defaultParallelism, "id")
+
+
+@query()
+def field_gather(spark, d):
+    return gathered(dealt(spark, d), K.FIELDS, K.LATTICE)
+
+
+@query()
+def mode_pictures(spark, d):
+    return pictured(dealt(spark, d), K.MODES)
+
+
+@query("select * from (values " + ", ".join(f"('{n}', '{m['kind']}')" for n, m in K.MODES.items()) + ") v(mode, kind)")
+def mode_catalogue(spark, d):
+    return spark.createDataFrame([(n, m["kind"]) for n, m in K.MODES.items()], "mode string, kind string")
+
+
+@query()
+def gradient_tables(spark, d):
+    """A gradient per nation: baked, folded and reversed, at five places."""
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for k in pdf["k"]:
+                stops = [(0.0, (k * 9 % 256, 20, 60)), (0.4, (250, k * 31 % 256, 10)), (1.0, (30, 200, k * 5 % 256))]
+                for name, made in (("plain", {}), ("folded", {"mirror": True}), ("reversed", {"reverse": True})):
+                    colours = K.colour.to_bytes(K.colour.lookup(K.colour.bake(stops, **made), np.array([0.0, 0.25, 0.5, 0.75, 1.0])))
+                    out += [(k, name, i, *map(int, c)) for i, c in enumerate(colours)]
+            yield pd.DataFrame(out, columns=["nation", "bake", "place", "red", "green", "blue"])
+
+    return table(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("k")).mapInPandas(run, "nation long, bake string, place int, red int, green int, blue int")
 
 
 @query()
 def screen_gates(spark, d):
-    return measured(frames(spark, d).repartition(spark.sparkContext.defaultParallelism, "id"))
+    return measured(dealt(spark, d))
 
 
 @query()

@@ -20,12 +20,44 @@ def query(sql: str | None = None):
     return add
 
 
-@query("""with g as (select p_partkey, p_brand, p_type, p_retailprice, row_number() over (partition by p_brand, p_type order by p_retailprice desc, p_partkey) as g from part where p_retailprice >= 1000),
-r as (select *, row_number() over (partition by p_brand order by p_retailprice desc, p_partkey) as place from g where g <= 2)
-select p_partkey, p_brand, p_type, p_retailprice, place::integer as place from r where place <= 8""")
+#: A release over parts: brands are partitions, a brand's types are groups, the bar is a price that half of them clear.
+_RELEASE = """
+s as (select p_brand as part, 4 + (ascii(substr(p_brand, 7, 1)) % 3) as slots, case when count(*) % 2 = 0 then count(*) // 4 % 5 end as cap, count(*) % 3 = 0 as g from part group by 1),
+b as (select *, g and slots >= 1 as owed, case when g and slots >= 1 then greatest(least(slots, coalesce(cap, slots)), 1) else least(slots, coalesce(cap, slots)) end as budget from s),
+c as (select printf('%04d', p_partkey) as id, p_brand as part, coalesce('group#' || p_brand || p_size % 7, '') as grp, p_retailprice as score from part where p_partkey % 10 <> 3),
+u as (select p_brand || p_size % 7 as k, count(*) % 2 as used from part where p_partkey % 10 = 3 group by 1),
+r as (select c.*, slots, budget, owed, coalesce(used, 0) as used, score >= 950 as good, row_number() over (partition by part order by score desc, id) - 1 as rank from c join b using (part) left join u on grp = 'group#' || k),
+n as (select *, used + sum(good::int) over (partition by part, grp order by score desc, id rows between unbounded preceding and current row) as gc from r),
+o as (select *, good and gc <= 2 as ok from n), t as (select *, coalesce(sum(ok::int) over (partition by part order by score desc, id rows between unbounded preceding and 1 preceding), 0) as taken from o),
+log as (select * from t where taken < budget)"""
+
+
+def _release(spark, d):
+    p = table(spark, d, "part").withColumn("grp", F.concat(F.col("p_brand"), (F.col("p_size") % 7).cast("string")))
+    n = F.count("*")
+    slots = p.groupBy(F.col("p_brand").alias("part")).agg((4 + F.ascii(F.substring(F.first("p_brand"), 7, 1)) % 3).alias("slots"), F.when(n % 2 == 0, F.floor(n / 4) % 5).alias("cap"), (n % 3 == 0).alias("guaranteed"))
+    earlier = p.where("p_partkey % 10 = 3").groupBy(F.concat(F.lit("group#"), F.col("grp")).alias("group")).agg((n % 2).alias("n"))
+    candidates = P.entries(p.where("p_partkey % 10 <> 3"), "p_partkey", "p_brand", "grp", "p_retailprice")
+    return P.release(candidates, slots, bar=950.0, used=earlier), candidates, slots
+
+
+@query(f"with {_RELEASE} select id, part, grp as \"group\", rank::integer as rank, score, ok as picked, case when not good then 'below_bar' when not ok then 'cluster_cap' end as skipped, case when ok then case when owed and taken = 0 then 'guarantee' else 'mix' end end as slot_source, case when ok then gc end::bigint as group_count from log")
+def release_log(spark, d):
+    return _release(spark, d)[0]
+
+
+@query(f"with {_RELEASE} select id, part, score, (row_number() over (partition by part order by score desc, id))::integer as place from log where ok")
 def topn_capped(spark, d):
-    p = table(spark, d, "part").select("p_partkey", "p_brand", "p_type", "p_retailprice")
-    return P.capped_top(p, "p_brand", "p_type", "p_retailprice", "p_partkey", 8, bar=1000.0)
+    picks = _release(spark, d)[0].where("picked")
+    return picks.select("id", "part", "score", P.best_first_by("part", "score", ["id"]).alias("place"))
+
+
+@query(f"""with {_RELEASE}, f as (select part, count(*) filter (ok) as seated, count(*) filter (not good) as below_bar, count(*) filter (good and not ok) as cluster_cap from log group by 1), e as (select part, count(*) as eligible from c group by 1)
+select part, slots::bigint as planned, budget::bigint as budget, coalesce(eligible, 0) as eligible, coalesce(seated, 0) as seated, coalesce(below_bar, 0) as below_bar, coalesce(cluster_cap, 0) as cluster_cap, greatest(slots - coalesce(seated, 0), 0)::bigint as unfilled,
+  case when slots > coalesce(seated, 0) then case when coalesce(seated, 0) < budget then case when below_bar > 0 then 'below_bar' when cluster_cap > 0 then 'cluster_cap' else 'no_candidates' end else 'supply_cap' end end as reason
+from b left join f using (part) left join e using (part) where slots > 0""")
+def slot_fill_reason(spark, d):
+    return P.fills(*_release(spark, d))
 
 
 @query("""with r as (select p_partkey, p_brand, p_size % 3 as head, row_number() over (partition by p_brand, p_size % 3 order by p_retailprice desc, p_partkey) as rank from part)
@@ -35,13 +67,6 @@ def rank_interleave(spark, d):
     return P.interleaved(p, "p_brand", "head", "p_retailprice", "p_partkey").select("p_partkey", "p_brand", "head", "rank", "place")
 
 
-@query("""with c as (select p_brand, count(*) filter (p_retailprice < 1000) as below, count(*) - count(distinct p_type) as capped, count(distinct p_type) as filled from part group by 1)
-select p_brand, case when filled >= 40 then 'supply_cap' when below > 0 then 'below_bar' when capped > 0 then 'cluster_cap' else 'no_candidates' end as reason from c""")
-def slot_fill_reason(spark, d):
-    c = table(spark, d, "part").groupBy("p_brand").agg(F.count_if(F.col("p_retailprice") < 1000).alias("below"), (F.count("*") - F.count_distinct("p_type")).alias("capped"), F.count_distinct("p_type").alias("filled"))
-    return c.select("p_brand", P.fill_reason(F.col("below"), F.col("capped"), F.col("filled"), F.lit(40)).alias("reason"))
-
-
 @query("""with t as (select doc_id, lang, source, row_number() over (partition by lang, source order by md5('7|' || doc_id), doc_id) as turn from documents),
 p as (select *, row_number() over (order by turn, lang, source, doc_id) as place from t)
 select doc_id, lang, source, place::integer as place from p where place <= 150""")

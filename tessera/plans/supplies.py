@@ -93,34 +93,111 @@ def quantile_cut(spark, d):
 
 def nation_revenue(spark, d):
     n, c, o = table(spark, d, "nation"), table(spark, d, "customer"), table(spark, d, "orders")
-    return o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey")).where("n_regionkey <= 1").groupBy("n_name").agg(F.round(F.sum(F.pow(F.col("o_totalprice") / 1000, 2)) * F.max(F.col("n_nationkey") % 4), 4).alias("weight"))
+    weight = F.floor(F.sum(F.pow(F.col("o_totalprice") / 1000, 2))).cast("long") * F.max(F.col("n_nationkey") % 4)
+    return o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("c_nationkey") == F.col("n_nationkey")).groupBy("n_name").agg(weight.cast("double").alias("weight"))
 
 
-_REV = "select n_name, round(sum(pow(o_totalprice / 1000, 2)) * max(n_nationkey % 4), 4) as weight from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey where n_regionkey <= 1 group by n_name"
+_REV = "select n_name, (floor(sum(pow(o_totalprice / 1000, 2)))::bigint * max(n_nationkey % 4))::double as weight from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey group by n_name"
 
 
 @query(f"""
-with w as ({_REV}), s as (select *, row_number() over (order by weight, n_name) - 1 as i, count(*) over () as n, sum(weight) over (order by weight, n_name rows between current row and unbounded following) as rest, sum(weight) over () as total from w),
-t as (select *, case when rest > 0 then (1 - i * 0.05) / rest end as scale from s), k as (select min(i) as cut from t where scale * weight >= 0.05)
-select n_name, weight, round(case when total <= 0 or n * 0.05 >= 1 then 1.0 / n when i < cut then 0.05 else (select scale from t, k where i = cut) * weight end, 9) as share from t, k""")
+with w as ({_REV}), e as (select *, n_name like 'I%' as out from w), s as (select *, row_number() over (partition by out order by weight, n_name) - 1 as i, count(*) over (partition by out) as n, sum(weight) over (partition by out order by weight, n_name rows between current row and unbounded following) as rest, sum(weight) over (partition by out) as total from e),
+t as (select *, case when rest > 0 then (1 - i * 0.01) / rest end as scale from s), k as (select min(i) as cut from t where not out and scale * weight >= 0.01 - 1e-12)
+select n_name, weight, round(case when out then 0.0 when total <= 0 or n * 0.01 >= 1 then 1.0 / n when i < cut then 0.01 else (select scale from t, k where i = cut and not out) * weight end, 9) as share, case when out then false when n * 0.01 >= 1 then true when total <= 0 then 1.0 / n < 0.01 else i < cut end as floored from t, k""")
 def waterfill_share(spark, d):
-    return S.water_fill(nation_revenue(spark, d), "n_name", "weight").withColumn("share", F.round("share", 9))
+    out = S.water_fill(nation_revenue(spark, d), "n_name", "weight", 0.01, F.col("n_name").startswith("I"))
+    return out.withColumn("share", F.round("share", 9))
 
 
-@query()
+def weights_of(spark, d) -> dict[str, float]:
+    return {r["n_name"]: r["weight"] for r in nation_revenue(spark, d).orderBy("n_name").collect()}  # one row per nation
+
+
+#: Picks one after the other; of the cells furthest behind, by (gap, weight, name), the last in order.
+_SEQUENCE = """{name}(place, taken, pick) as (select 0, list_transform(names, lambda n: 0), null::varchar from {cells} union all
+ select place + 1, list_transform(range(1, len(names) + 1), lambda i: taken[i] + (i = best.i)::integer), best.n from (select {name}.place, {name}.taken, names, list_last(list_sort(list_transform(list_filter(range(1, len(names) + 1), lambda i: ws[i] > 0 and taken[i] < caps[i]), lambda i: {{g: (place + 1) * ws[i] / total - taken[i], w: ws[i], n: names[i], i: i}}))) as best from {name}, {cells} where place < {n}) where best is not null)"""
+
+
+@query(f"""with recursive w as ({_REV}), cells as (select list(n_name order by n_name) as names, list(weight order by n_name) as ws, sum(weight) as total, list(case when n_name = 'BRAZIL' then 3 when n_name like 'C%' then 0 else 9 end order by n_name) as caps from w), {_SEQUENCE.format(name='seq', cells='cells', n=64)}
+select place::integer as place, pick as n_name from seq where place > 0""")
 def largest_deficit_slots(spark, d):
-    weights = [(r["n_name"], r["weight"]) for r in nation_revenue(spark, d).collect()]  # one row per nation
-    picks = S.largest_deficit(sorted(weights), 64, {"BRAZIL": 3})
+    weights = weights_of(spark, d)
+    picks = S.largest_deficit(weights, 64, {k: 3 if k == "BRAZIL" else 9 for k in weights if not k.startswith("C")})
     return spark.createDataFrame([(i + 1, p) for i, p in enumerate(picks)], "place int, n_name string")
 
 
 @query()
 def guaranteed_slots(spark, d):
-    weights = [(r["n_name"], r["weight"]) for r in nation_revenue(spark, d).collect()]  # one row per nation
-    got = S.guaranteed_slots(sorted(weights), 12, {n for n, _ in weights[:6]})
+    weights = weights_of(spark, d)
+    got = S.guaranteed_slots(weights, 12, None, list(weights)[:6])
     return spark.createDataFrame(sorted(got.items()), "n_name string, slots int")
 
 
+@query(f"""with w as ({_REV}), t as (select n_name, weight, weight / sum(weight) over () as intended, round(weight) % 7 as spent from w) select n_name, round(intended - spent / sum(spent) over (), 9) as gap from t where n_name not like 'U%'""")
+def share_gap(spark, d):
+    weights = weights_of(spark, d)
+    total = sum(weights.values())
+    gaps = S.share_gaps({k: v / total for k, v in weights.items()}, {k: v % 7 for k, v in weights.items()}, [k for k in weights if not k.startswith("U")])
+    return spark.createDataFrame([(k, round(v, 9)) for k, v in gaps.items()], "n_name string, gap double")
+
+
+@query()
+def batch_slots(spark, d):
+    weights = weights_of(spark, d)
+    total = sum(weights.values())
+    slots, source = S.batch_slots({k: v / total for k, v in weights.items()}, {k: v % 7 for k, v in weights.items()}, {k: int(v) % 5 for k, v in weights.items()}, 8, [k for k in weights if k < "E"], ["KENYA"], {k: 1 + v % 3 for k, v in weights.items()})
+    return spark.createDataFrame([(k, v, source) for k, v in slots.items()], "n_name string, slots int, source string")
+
+
+@query()
+def attempt_plan(spark, d):
+    weights = {k: max(v, 1.0) for k, v in weights_of(spark, d).items()}
+    plan = S.attempt_cells({k: int(v) % 9 for k, v in weights.items()}, weights, 10, 0.35, 30, [k for k in weights if k < "F"])
+    return spark.createDataFrame([(i + 1, *cell) for i, cell in enumerate(plan)], "place int, head string, n_name string, rank int")
+
+
+@query("select max(v) / min(v) as ratio from (select sum(l_tax) as v from lineitem group by l_returnflag)")
+def spread_ratio(spark, d):
+    return S.spread_ratio(table(spark, d, "lineitem").groupBy("l_returnflag").agg(F.sum("l_tax").alias("v")), "v")
+
+
+@query("select p_partkey, greatest(least(p_retailprice / 100, 12.0), 0.75) as price, round(1 - pow(0.85, p_size), 10) as weight from part")
+def price_clamp(spark, d):
+    return table(spark, d, "part").select("p_partkey", S.clamped_price(F.col("p_retailprice") / 100, F.lit(3.0)).alias("price"), F.round(S.sample_weight(F.col("p_size")), 10).alias("weight"))
+
+
+@query("""with m as (select l_returnflag as part, date_part('year', l_shipdate) * 100 + date_part('month', l_shipdate) as step, round(sum(l_tax), 6) as m, round(sum(l_discount), 6) as u from lineitem group by 1, 2), f as (select part, list(m order by step) as ms, list(u order by step) as us from m group by part)
+select part, len(ms)::integer as steps, round(list_reduce(ms, lambda a, x: a * 0.85 + x * 0.15, 0.0) / greatest(list_reduce(us, lambda a, x: a * 0.85 + x * 0.15, 0.0), 1e-6), 6) as price from f""")
+def price_ema_ratio(spark, d):
+    steps = table(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("part"), (F.year("l_shipdate") * 100 + F.month("l_shipdate")).alias("step")).agg(F.round(F.sum("l_tax"), 6).alias("m"), F.round(F.sum("l_discount"), 6).alias("u"))
+    return S.ema_ratio(steps, "part", "step", "m", "u").select("part", "steps", F.round("price", 6).alias("price"))
+
+
+@query("""select coalesce(r.k, m.k) as part, case when m.k is null then 'missing' when r.k is null then 'unregistered' else 'not_positive' end as why from (select distinct n_nationkey as k from nation where n_nationkey < 20) r full join (select n_nationkey as k, n_nationkey % 6 as ratio from nation where n_nationkey % 5 <> 1) m using (k) where m.k is null or r.k is null or ratio = 0""")
+def mix_completeness(spark, d):
+    n = table(spark, d, "nation")
+    mix = n.where("n_nationkey % 5 <> 1").select(F.col("n_nationkey").alias("part"), (F.col("n_nationkey") % 6).alias("ratio"))
+    return S.incomplete(mix, n.where("n_nationkey < 20").select(F.col("n_nationkey").alias("part")), "part", "ratio")
+
+
+@query("""with s as (select event_type as part, sum(value) as minutes, count(*) as batches, count(distinct user_id) as admitted from events group by 1), i as (select n_nationkey, n_name from nation), p as (select part, 1.0 / count(*) over () as intent from (select distinct event_type as part from events union select 'none'))
+select p.part, intent, round(coalesce(minutes / sum(minutes) over (), 0), 9) as minutes_share, round(coalesce(batches / sum(batches) over (), 0), 9) as batches_share, round(coalesce(admitted / sum(admitted) over (), 0), 9) as admitted_share, round(intent - coalesce(minutes / sum(minutes) over (), 0), 9) as gap from p left join s using (part)""")
+def realised_mix(spark, d):
+    e = table(spark, d, "events").select(F.col("event_type").alias("part"), F.col("value").alias("minutes"), "user_id")
+    steps = e.groupBy("part").agg(F.sum("minutes").alias("minutes"), F.count("*").alias("batches"), F.count_distinct("user_id").alias("admitted"))
+    names = steps.select("part").unionByName(spark.createDataFrame([("none",)], "part string"))
+    total = names.agg(F.count("*").alias("n"))
+    intents = names.crossJoin(F.broadcast(total)).select("part", (1.0 / F.col("n")).alias("intent"))  # one row
+    out = S.realised_mix(steps, "part", ["minutes", "batches", "admitted"], intents)
+    return out.select("part", "intent", *[F.round(c, 9).alias(c) for c in ("minutes_share", "batches_share", "admitted_share", "gap")])
+
+
+@query("""select l_returnflag as part, sum(case when l_linestatus = 'F' then l_quantity else 0 end) as floor_minutes, sum(case when l_linestatus <> 'F' then l_quantity else 0 end) as deficit_minutes, round(sum(case when l_linestatus = 'F' then l_quantity else 0 end) / sum(l_quantity), 9) as floor_share from lineitem group by 1""")
+def floor_versus_deficit(spark, d):
+    got = table(spark, d, "lineitem").groupBy(F.col("l_returnflag").alias("part")).agg(F.sum(F.when(F.col("l_linestatus") == "F", F.col("l_quantity")).otherwise(0)).alias("floor_minutes"), F.sum(F.when(F.col("l_linestatus") != "F", F.col("l_quantity")).otherwise(0)).alias("deficit_minutes"))
+    return got.withColumn("floor_share", F.round(F.col("floor_minutes") / (F.col("floor_minutes") + F.col("deficit_minutes")), 9))
+
+
 @query("""
 with s as (select c_nationkey as part, count(*) as cap from customer group by 1)
 select part, cap, slots from (
