@@ -80,11 +80,21 @@ def flips(rows: DataFrame, here: str, there: str, edge: float, by: list[str] | N
     return rows.groupBy(*(by or [])).agg(F.count_if(a != b).alias("flips"), F.count_if(a & ~b).alias("lost"), F.count_if(~a & b).alias("gained"), F.count("*").alias("n"))
 
 
+def passing_counts(counts: DataFrame, score: str, n: str, bands: int = 4096) -> DataFrame:
+    """Counts of distinct scores with ``past``, how many rows score as much or more. Scores from 0 to 1 fall into bands:
+    a task adds up one band, and the bands' totals are added in order."""
+    cut = counts.withColumn("_b", -F.floor(F.col(score) * bands))
+    before = Window.partitionBy().orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    total = cut.groupBy("_b").agg(F.sum(n).alias("_t")).select("_b", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_before"))
+    own = F.sum(n).over(Window.partitionBy("_b").orderBy(F.desc(score)))
+    return cut.withColumn("_own", own).join(total, "_b").withColumn("past", F.col("_before") + F.col("_own")).drop("_b", "_own", "_before")
+
+
 def volume_match(rows: DataFrame, incumbent: str, candidate: str, prior: float, step: float = 0.005) -> DataFrame:
     """The candidate's cut that passes as many rows as the incumbent's, floored to ``step``."""
     k = rows.agg(F.count_if(F.col(incumbent) >= prior).alias("k"))
-    ranked = rows.groupBy(candidate).count().withColumn("past", F.sum("count").over(Window.partitionBy().orderBy(F.desc(candidate))))
-    both = ranked.crossJoin(F.broadcast(k)).where("past >= k and past - count < k")  # one row
+    ranked = passing_counts(rows.groupBy(candidate).agg(F.count("*").alias("n")), candidate, "n")
+    both = ranked.crossJoin(F.broadcast(k)).where("past >= k and past - n < k")  # one row
     return both.select("k", F.col(candidate).alias("crossing"), (F.floor(F.col(candidate) / step + 1e-9) * step).alias("cut"))
 
 
@@ -221,7 +231,7 @@ def restated_cuts(rows: DataFrame, incumbent: str, candidate: str, cuts: dict[st
     """Each cut as the candidate's score that passes as many rows, rounded down to ``step``, with what it then passes, and
     how many rows the two don't both pass. Only distinct candidate scores are put in order."""
     counts = rows.groupBy(candidate).agg(F.count("*").alias("n"), *[F.count_if(F.col(incumbent) >= v).alias(f"k_{c}") for c, v in cuts.items()])
-    ranked = counts.withColumn("past", F.sum("n").over(Window.partitionBy().orderBy(F.desc(candidate))))
+    ranked = passing_counts(counts, candidate, "n")
     total = counts.agg(F.sum("n").alias("total"), *[F.sum(f"k_{c}").alias(f"all_{c}") for c in cuts])
     both = ranked.crossJoin(F.broadcast(total))  # one row
     crossing = both.agg(F.first("total").alias("total"), *[F.first(f"all_{c}").alias(f"all_{c}") for c in cuts], *[F.max(F.when((F.col("past") >= F.col(f"all_{c}")) & (F.col("past") - F.col("n") < F.col(f"all_{c}")), F.col(candidate))).alias(f"x_{c}") for c in cuts])

@@ -121,14 +121,22 @@ def sampling_weights(rows: DataFrame, cls: str, group: str, biased: Column, beta
     return w.drop("_c", "_g")
 
 
+def numbered(rows: DataFrame, order: str, parts: int = 256) -> DataFrame:
+    """``rows`` with ``place``, their number from 1 by a column of distinct numbers. Bounds of about equal shares, found
+    first, part the order, so no task numbers all rows."""
+    bounds = rows.approxQuantile(order, [k / parts for k in range(1, parts)], 0.001) if parts > 1 else []
+    coarse = F.size(F.filter(F.array(*map(F.lit, sorted(set(bounds)))), lambda b: b < F.col(order))) if bounds else F.lit(0)
+    return placed(rows, coarse, [order])
+
+
 def two_to_one(first: DataFrame, second: DataFrame, order: str) -> DataFrame:
-    """Two of ``first``, one of ``second``, in their orders; what one has left follows."""
-    w = Window.partitionBy("channel").orderBy(order)
-    both = first.withColumn("channel", F.lit(0)).unionByName(second.withColumn("channel", F.lit(1)))
-    both = both.withColumn("_i", F.row_number().over(w) - 1)
-    turn = F.when(F.col("channel") == 0, F.floor(F.col("_i") / 2) * 3 + F.col("_i") % 2).otherwise(F.col("_i") * 3 + 2)
-    both = both.withColumn("_turn", turn)
-    return placed(both, F.floor(F.col("_turn") / 3), ["_turn", "channel", "_i"]).drop("_i", "_turn")
+    """Two of ``first``, one of ``second``, in their orders (distinct numbers); what one has left follows."""
+    both = numbered(first, order).withColumn("channel", F.lit(0)).unionByName(numbered(second, order).withColumn("channel", F.lit(1)))
+    i = F.col("place") - 1
+    turn = F.when(F.col("channel") == 0, F.floor(i / 2) * 3 + i % 2).otherwise(i * 3 + 2)
+    both = both.withColumn("_i", i).withColumn("_turn", turn).drop("place")
+    # Rows of one turn of three, and a thousand turns, are few: a task numbers one such run.
+    return placed(both, F.floor(F.col("_turn") / 3072), ["_turn", "channel", "_i"]).drop("_i", "_turn")
 
 
 def period_round_robin(rows: DataFrame, period: str, margin: str, key: str) -> DataFrame:

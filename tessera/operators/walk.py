@@ -28,23 +28,6 @@ def evicted(frontier: DataFrame, expansions: DataFrame, root: str, cap: int) ->
     return frontier.join(spent, root, "left_anti")
 
 
-def spaced(points: DataFrame, group: str, order: str, gap: float) -> DataFrame:
-    """In order, each point at least ``gap`` from all accepted before it in its group. One decision depends on all
-    before it, so a group is one task; accepted points are hashed to cells, so a group is linear in its points."""
-
-    def accept(pdf):
-        side, kept, cells = gap, [], {}
-        for row in pdf.sort_values(order).itertuples():
-            cx, cy = int(row.x // side), int(row.y // side)
-            near = (p for i in (-1, 0, 1) for j in (-1, 0, 1) for p in cells.get((cx + i, cy + j), ()))
-            if all((row.x - a) ** 2 + (row.y - b) ** 2 >= gap * gap for a, b in near):
-                cells.setdefault((cx, cy), []).append((row.x, row.y))
-                kept.append(row.Index)
-        return pdf.loc[kept]
-
-    return points.groupBy(group).applyInPandas(accept, points.schema)
-
-
 def governed(rolls: DataFrame, cell: list[str], order: str, chance: float, seed: int) -> DataFrame:
     """The first roll of each cell whose keyed coin falls; a cell fires once, and rolls before that leave no trace."""
     coin = F.conv(F.substring(hashed(seed, *cell, order), 1, 12), 16, 10).cast("double") / float(1 << 48)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import kernel as K
+from tessera.operators.measure import mid_rank
 from tessera.sources.tables import table
 
 QUERIES, ORACLES = {}, {}
@@ -153,7 +154,9 @@ def frame_stretch(spark, d):
 
 @query("""select event_id, round((rank() over (partition by event_type order by value) - 1 + cume_dist() over (partition by event_type order by value) * count(*) over (partition by event_type)) / 2 / count(*) over (partition by event_type), 9) as rank_share from events""")
 def rank_transfer(spark, d):
-    by = Window.partitionBy("event_type")
-    w = by.orderBy("value")
-    n = F.count("*").over(by)
-    return table(spark, d, "events").select("event_id", F.round((F.rank().over(w) - 1 + F.cume_dist().over(w) * n) / 2 / n, 9).alias("rank_share"))
+    # The share below and half of the equal: from mid-ranks of distinct values.
+    rows = table(spark, d, "events").select("event_id", "event_type", "value")
+    n = rows.groupBy("event_type").agg(F.count("*").alias("n"))
+    ranks = mid_rank(rows, "value", ["event_type"], "r").join(F.broadcast(n), "event_type")  # a row per type
+    share = ranks.select("event_type", "value", F.round((F.col("r") - 0.5) / F.col("n"), 9).alias("rank_share"))
+    return rows.join(share, (rows["event_type"] == share["event_type"]) & rows["value"].eqNullSafe(share["value"])).select("event_id", "rank_share")

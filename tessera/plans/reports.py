@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from tessera.operators import walk as W
 from tessera.operators.spatial import distance
+from tessera.operators import draws as D
+from tessera.operators.scratch import Scratch
 from tessera.sources.tables import table
 
 QUERIES, ORACLES = {}, {}
@@ -91,7 +93,7 @@ def capped_eviction(spark, d):
 def greedy_spacing(spark, d):
     k = F.col("o_orderkey")
     pts = table(spark, d, "orders").select(k.alias("id"), F.concat_ws("|", "o_orderstatus", "o_orderpriority").alias("twin"), (k * 7919 % 10007 / 10007).alias("x"), (k * 104729 % 9973 / 9973).alias("y"))
-    return W.spaced(pts, "twin", "id", 0.032)
+    return D.kept_apart(pts, "twin", "id", 0.032, Scratch(spark, "spacing"))
 
 
 @query("""with c as (select *, ('0x' || substr(md5('5|' || user_id || '|' || event_type || '|' || event_id), 1, 12))::bigint / 281474976710656.0::double as coin from events)
@@ -130,16 +132,6 @@ def conditional_tier_loss(spark, d):
     return table(spark, d, "orders").agg(F.round((a + b) / 2, 8).alias("loss"))
 
 
-@query("""with a as (select vec_id, embedding, label from embeddings where label = 0), p as (select l.vec_id, c.vec_id as other, list_distance(l.embedding::double[], c.embedding::double[]) as g from embeddings l join a c on l.vec_id <> c.vec_id)
-select vec_id, round(min(g), 6) as distance from p group by vec_id""")
-def nearest_accepted(spark, d):
-    e = table(spark, d, "embeddings")
-    accepted = e.where("label = 0").select(F.col("vec_id").alias("other"), F.col("embedding").alias("x"))
-    # All rows against the accepted ones is what the operator is; Spark broadcasts them where they are small.
-    pairs = e.crossJoin(accepted).where("vec_id <> other")
-    return pairs.groupBy("vec_id").agg(F.round(F.min(distance(F.col("embedding"), F.col("x"))), 6).alias("distance"))
-
-
 @query("""select o_orderkey, '["' || o_orderstatus || '","' || o_orderpriority || '",' || o_custkey || ']' as key, round(fmod(pow(least(greatest(o_totalprice / 500000, 0), 1), 1.5) * 3, 1) + 0.25, 8) as placed from orders""")
 def keys_and_placement(spark, d):
     key = F.concat(F.lit('["'), F.col("o_orderstatus"), F.lit('","'), F.col("o_orderpriority"), F.lit('",'), F.col("o_custkey").cast("string"), F.lit("]"))

@@ -33,11 +33,17 @@ def events(spark, d):
     return loops.source(spark, f"{d}/events.parquet*", rows.schema).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-@query("select user_id, event_type, count(distinct ts) as moments from events group by 1, 2")
+def events_twice(spark, d):
+    """The events with every third a second time."""
+    rows = events(spark, d)
+    return rows.withColumn("_copy", F.explode(F.when(F.col("event_id") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))).drop("_copy")
+
+
+@query("select user_id, event_type, count(*) as moments from (select distinct user_id, event_type, ts from events) e group by 1, 2")
 def stream_dedup(spark, d):
-    kept = loops.distinct_within(events(spark, d).select("user_id", "event_type", "ts"), ["user_id", "event_type", "ts"], "ts", "3650 days")
+    kept = loops.distinct_within(events_twice(spark, d).select("user_id", "event_type", "ts"), ["user_id", "event_type", "ts"], "ts", "3650 days")
     rows = loops.run_to_end(kept, _folder(spark))
-    return rows.groupBy("user_id", "event_type").agg(F.count_distinct("ts").alias("moments"))
+    return rows.groupBy("user_id", "event_type").agg(F.count("*").alias("moments"))
 
 
 @query()

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from tessera.functions import colour, kernel
-from tessera.operators import measure, resolve, select, spatial, supply
+from tessera.operators import draws, measure, resolve, select, spatial, supply
 from tessera.operators.scratch import Scratch
 
 
@@ -215,3 +215,27 @@ def test_colours():
     assert (colour.resampled(flat, 10, 5) == colour.to_bytes(flat[:1, :1])).all()
     assert len(colour.densified(stops)) == 9 and len(kernel.MODES) == 19
     assert all(np.isfinite(kernel.drawn(kernel.grid(-0.5 + 0j, 3, 24, 16), kernel.Family("multibrot", 2), 40, mode)).all() for mode in kernel.MODES.values())
+
+
+def test_kept_apart_equals_one_after_the_other(spark):
+    rng = random.Random(7)
+    pts = [(i, rng.choice("pq"), rng.randint(0, 30), rng.random(), rng.random()) for i in range(300)]
+    frame = spark.createDataFrame(pts, "id long, part string, at int, x double, y double")
+    for strict in (False, True):
+        kept = []
+        for p in sorted(pts, key=lambda p: (p[2], p[0])):
+            gaps = [math.hypot(p[3] - k[3], p[4] - k[4]) for k in kept if k[1] == p[1]]
+            if all(g > 0.08 if strict else g >= 0.08 for g in gaps):
+                kept.append(p)
+        got = draws.kept_apart(frame, "part", "at", 0.08, Scratch(spark, "test"), strict)
+        assert {r.id for r in got.collect()} == {k[0] for k in kept}
+    assert draws.kept_apart(frame.where("id < 0"), "part", "at", 0.08, Scratch(spark, "test")).count() == 0
+
+
+def test_nearest_far_and_none(spark):
+    pts = [(i, "p", float(i % 10), float(i // 10)) for i in range(60)] + [(900, "p", 500.0, 500.0), (901, "q", 0.0, 0.0)]
+    frame = spark.createDataFrame(pts, "id long, part string, x double, y double")
+    got = {r.id: r for r in draws.nearest(frame, frame.where("id in (0, 7, 33)"), "part").collect()}
+    for i, part, x, y in pts:
+        want = min(((math.hypot(x - a[2], y - a[3]), a[0]) for a in pts if a[0] in (0, 7, 33) and a[1] == part), default=None)
+        assert (got[i].distance, got[i].nearest) == ((None, None) if want is None else pytest.approx(want))
