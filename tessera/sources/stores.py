@@ -41,9 +41,9 @@ def strict_ledger(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def labels(spark: SparkSession, paths: list[str] | str, schema: T.StructType) -> DataFrame:
-    """Rows with ``_file`` and ``_line``, which later resolution orders by: each file is read whole to number its lines."""
-    whole = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_name").alias("_file"), F.posexplode(F.split("value", "\n")).alias("_line", "value"))
-    return _parsed(whole.withColumn("_line", F.col("_line") + 1), schema, torn=False)
+    """Rows with ``_file`` and ``_line``, which later resolution orders by. A store of verdicts is a file per batch, read
+    whole to number its lines."""
+    return lines(spark, paths, schema)
 
 
 def registry(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -121,3 +121,144 @@ def verified_copy(source: DataFrame, copy: DataFrame) -> DataFrame:
     both = source.select("path", F.struct("size", "sha").alias("a")).join(copy.select("path", F.struct("size", "sha").alias("b")), "path", "full")
     state = F.when(F.col("b").isNull(), "missing").when(F.col("a").isNull(), "extra").when(F.col("a") != F.col("b"), "changed")
     return both.select("path", state.alias("state")).where("state is not null")
+
+
+def discovered(spark: SparkSession, folders: dict[str, str], name: str = "walk.jsonl", without: str | None = None) -> list[str]:
+    """Paths of all files ``name`` below some storage tiers, in the order of their names within a tier: first-writer-wins
+    depends on it, and it must not depend on where a tier lies. One path may be left out."""
+    found = []
+    for tier, root in folders.items():
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", name).load(root).select("path")
+        for (path,) in files.collect():  # a name per ledger
+            at = path.find(root.removeprefix("file://").rstrip("/") + "/")
+            inner = path[at + len(root.removeprefix("file://").rstrip("/")) + 1 :]
+            if path != without and inner != without:
+                found.append((inner, tier, path))
+    return [path for _, _, path in sorted(found)]
+
+
+def lines(spark: SparkSession, paths: list[str] | str, schema: T.StructType, torn: bool = False) -> DataFrame:
+    """Rows of small stores in written order, ``_file`` and ``_line`` beside them."""
+    whole = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_name").alias("_file"), F.posexplode(F.split("value", "\n")).alias("_line", "value"))
+    return _parsed(whole.withColumn("_line", F.col("_line") + 1), schema, torn=torn)
+
+
+def one_row(rows: DataFrame) -> DataFrame:
+    """``rows`` if it is a single one; else an error."""
+    some = rows.limit(2).collect()
+    if len(some) != 1:
+        raise ValueError(f"one row wanted, found {'none' if not some else 'more'}")
+    return rows.sparkSession.createDataFrame(some, rows.schema)
+
+
+def last_of(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The last row of each key, as a sidecar that is appended to is read."""
+    whole = F.struct(*rows.columns)
+    return rows.groupBy(key).agg(F.max_by(whole, F.struct(*order)).alias("_r")).select("_r.*")
+
+
+def pool(rows: DataFrame, part: str, least: float) -> DataFrame:
+    """Seeds ``(id, part, x, y)``; an error where two of a partition are closer than ``least``."""
+    from tessera.operators.joins import closest_pair
+
+    close = closest_pair(rows.select("id", part, "x", "y"), part).select(part, F.when(F.col("distance") < least, F.raise_error(F.concat(F.lit("seeds too close: "), F.col("distance").cast("string")))).otherwise(F.lit(True)).alias("_apart"))
+    return rows.join(F.broadcast(close), part).where("_apart").drop("_apart")  # a row per partition
+
+
+def projected(rows: DataFrame, columns: list[str], path: str, old: str, new: str) -> DataFrame:
+    """A manifest's few columns, its paths moved from one storage tier to another."""
+    from tessera.functions.places import rehomed
+
+    return rows.select(*[rehomed(F.col(path), old, new).alias(path) if c == path else c for c in columns])
+
+
+def write_lines(rows: DataFrame, path: str, order: list[str] | None = None, mode: str = "overwrite") -> None:
+    """JSON lines, in order where one is given: range partitions keep it over files, and nulls stay as nulls."""
+    out = rows.orderBy(*order) if order else rows
+    out.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"}).alias("value")).write.mode(mode).text(path)
+
+
+def append_rows(rows: DataFrame, path: str, kind: str) -> None:
+    """Append to a ledger, each row stamped with the schema version and its kind."""
+    write_lines(rows.select(F.lit(SCHEMA).alias("schema"), F.lit(kind).alias("kind"), *[c for c in rows.columns if c not in ("schema", "kind")]), path, mode="append")
+
+
+def upsert_decisions(rows: DataFrame, path: str, carried: str = "rejected") -> None:
+    """Merge one run's rows by key into its folder of partitions. A row replaces the one of its key, whichever partition
+    that was in, but keeps its ``carried`` value where it has none; partitions left without rows go.
+
+    The merged rows are written beside the folder first, so a lost job leaves the old ones."""
+    from tessera.operators.scratch import Scratch, is_empty
+
+    spark = rows.sparkSession
+    scratch = Scratch(spark, "decisions")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(hadoop):
+        old = spark.read.schema(rows.schema).parquet(path)
+        before = old.select("key", F.col(carried).alias("_before"))
+        new = rows.join(before, "key", "left").withColumn(carried, F.coalesce(carried, "_before")).select(*rows.columns)
+        rows = old.join(rows.select("key"), "key", "left_anti").select(*rows.columns).unionByName(new)
+    merged = scratch.keep(rows)
+    if is_empty(merged):
+        return
+    # All partitions are overwritten: those without rows are gone.
+    merged.repartition("partition").sortWithinPartitions("key").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("partition").parquet(path)
+
+
+def write_fields(rasters: DataFrame, folder: str) -> int:
+    """Raster dumps of ``(name, width, height, values)``: little-endian 32-bit floats, and a record beside them. Two of one
+    name are an error, found before anything is written. Gives the number written."""
+    twice = rasters.groupBy("name").count().where("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"two dumps are named {twice[0]['name']!r}")
+    folder = folder.rstrip("/")
+
+    def run(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples():
+                values = np.asarray(r.values, "<f4")
+                if values.size != r.width * r.height:
+                    raise ValueError(f"{values.size} values for {r.width} x {r.height}")
+                out.append((r.name, values.tobytes(), json.dumps({"width": int(r.width), "height": int(r.height), "dtype": "f32le"})))
+            yield pd.DataFrame(out, columns=["name", "raw", "record"])
+
+    # Spark has no sink for one file a row: a table keeps the bytes and the records, which readers and copies agree on.
+    packed = rasters.mapInPandas(run, "name string, raw binary, record string")
+    packed.write.mode("errorifexists").parquet(folder)
+    return rasters.sparkSession.read.parquet(folder).count()
+
+
+def packed_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """Dumps that ``write_fields`` wrote, as ``(name, width, height, values)``."""
+
+    @F.pandas_udf("array<float>")
+    def decode(raw):
+        return raw.map(lambda b: np.frombuffer(b, "<f4"))
+
+    about = F.from_json("record", "width int, height int")
+    return spark.read.parquet(folder).select("name", about.alias("a"), decode("raw").alias("values")).select("name", "a.width", "a.height", "values")
+
+
+def completed(rows: DataFrame, key: str) -> DataFrame:
+    """Attempts a log has, the last of each, and what is left to do with an anti-join on it."""
+    return last_of(rows, key, ["_file", "_line"])
+
+
+def repaired(spark: SparkSession, path: str, out: str) -> int:
+    """Rewrite a log without lines that don't parse, so that the next append starts on a line of its own. Gives how many
+    lines went."""
+    text = spark.read.text(path).where(F.trim("value") != "")
+    good = F.from_json("value", "map<string,string>").isNotNull() & F.rtrim("value").endswith("}")
+    kept = text.where(good)
+    kept.write.mode("overwrite").text(out)
+    return text.where(~good).count()
+
+
+def colour_maps(rows: DataFrame) -> DataFrame:
+    """Colour maps ``(name, stops)``; one of fewer than two stops is an error."""
+    few = F.size("stops") < 2
+    return rows.withColumn("stops", F.when(~few, F.col("stops")).otherwise(F.raise_error(F.concat(F.lit("fewer than two stops: "), F.col("name"))).cast(rows.schema["stops"].dataType)))
