@@ -12,9 +12,12 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a local folder only where none is set, as in tests."""
+    """The cluster's ``spark.checkpoint.dir``. Where none is set a local master, as in tests, gets a folder of its own; on
+    a cluster that is an error, since each executor would write to its own disk."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir isn't set; it must name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="tessera-checkpoints-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
@@ -27,12 +30,14 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
         self._made = 0
+        self._there: set[str] = set()
         atexit.register(self._clear)
 
     def keep(self, frame: DataFrame) -> DataFrame:
         """Write ``frame`` and read it back with the same schema."""
         self._made += 1
         path = f"{self.root}/{self._made}"
+        self._there.add(path)
         frame.write.mode("overwrite").parquet(path)
         read = self.spark.read.schema(frame.schema).parquet(path)
         read._tessera_path = path
@@ -41,7 +46,16 @@ class Scratch:
     def drop(self, *frames: DataFrame) -> None:
         """Delete tables that no later step reads."""
         for frame in frames:
-            self._delete(getattr(frame, "_tessera_path", None))
+            path = getattr(frame, "_tessera_path", None)
+            self._there.discard(path)
+            self._delete(path)
+
+    def only(self, *frames: DataFrame) -> None:
+        """Delete all tables but these, which the result reads."""
+        left = {getattr(frame, "_tessera_path", None) for frame in frames}
+        for path in sorted(self._there - left):
+            self._there.discard(path)
+            self._delete(path)
 
     def settle(self) -> None:
         """Have the driver notice what written tables have cut off, so that Spark deletes its shuffle files now."""
