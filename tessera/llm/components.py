@@ -13,7 +13,7 @@ from tessera.operators.spatial import components as star_components
 
 
 #: Distinct edges that one task joins by union-find; with more, steps over the whole cluster do.
-LOCAL = 100_000
+LOCAL = 200_000
 
 
 def _union_find(edge: DataFrame) -> DataFrame:
@@ -95,7 +95,6 @@ def group_by_links(
     """
     small = [c for c in members.columns if c not in ("key", "id")]
     near = near or (lambda left, right: F.lit(True))
-    links = None
     group = None
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -103,9 +102,10 @@ def group_by_links(
         wide = scratch.keep(payload(ids))
         left = wide.select(F.col("id").alias("a"), *[F.col(c).alias(f"l_{c}") for c in wide.columns if c != "id"])
         right = wide.select(F.col("id").alias("b"), *[F.col(c).alias(f"r_{c}") for c in wide.columns if c != "id"])
-        wide = pairs.join(right, "b").join(left, "a")
-        good = check(wide) if check else wide.where(linked("l_", "r_"))
-        return good.select("a", "b")
+        both = pairs.join(right, "b").join(left, "a")
+        good = scratch.keep((check(both) if check else both.where(linked("l_", "r_"))).select("l_c", "r_c").distinct())
+        scratch.drop(ids, wide)
+        return good
 
     for turn, hubs in enumerate((*stars, None)):
         lab = members if group is None else members.join(group.withColumnRenamed("component", "c"), "id", "left")
@@ -123,15 +123,23 @@ def group_by_links(
         right = rest.select("key", F.col("id").alias("b"), F.col("c").alias("r_c"), *[F.col(c).alias(f"r_{c}") for c in small])
         once = F.col("l_c") != F.col("r_c") if hubs else F.col("l_c") < F.col("r_c")
         pairs = left.join(right, "key").where(once & near("l_", "r_"))
-        pairs = scratch.keep(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        swap = F.col("a") > F.col("b")
+        pairs = pairs.select(*[F.when(swap, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in (("a", "b"), ("b", "a"), ("l_c", "r_c"), ("r_c", "l_c"))])
+        pairs = scratch.keep(pairs.distinct())
         scratch.drop(rest)
         if is_empty(pairs):
             continue
-        found = scratch.keep(verified(pairs))
+        # Links join the components found so far: what is left to group is small after the first round.
+        found = verified(pairs)
         scratch.drop(pairs)
         scratch.settle()
-        links = found if links is None else links.unionByName(found)
-        group = components(links, scratch)
-        if not group_is_kept(group):
-            group = scratch.keep(group)
+        more = components(found.select(F.col("l_c").alias("a"), F.col("r_c").alias("b")), scratch)
+        if not group_is_kept(more):
+            more = scratch.keep(more)
+        if group is None:
+            group = more
+            continue
+        new = more.select(F.col("id").alias("component"), F.col("component").alias("new"))
+        moved = group.join(new, "component", "left").select("id", F.coalesce("new", "component").alias("component"))
+        group = scratch.keep(moved.unionByName(more.join(group.select("id"), "id", "left_anti").select("id", "component")))
     return group if group is not None else members.select("id", F.col("id").alias("component")).where("false")

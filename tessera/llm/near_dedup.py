@@ -193,10 +193,13 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.85, width: int = 5, id
     out = sketch.select("id", "n_shingles", "sum", "xor").join(of_rep, ["n_shingles", "sum", "xor"], "left")
     twice = sketch.where("id is not null").groupBy("id").count().where("count > 1")
     out = scratch.keep(out.select("id", "n_shingles", F.coalesce("component", "id").alias("component_id")))
+    read = [out]
     if twice.limit(1).count():
         edges = out.join(twice.select("id"), "id", "left_semi").select(F.col("id").alias("a"), F.col("component_id").alias("b"))
         joined = scratch.keep(components(edges.unionByName(out.select(F.col("id").alias("a"), F.col("component_id").alias("b"))), scratch))
+        read.append(joined)
         out = out.drop("component_id").join(joined, "id", "left").select("id", "n_shingles", F.coalesce("component", "id").alias("component_id"))
+    scratch.only(*read)
     return out.select(F.col("id").alias(id_col), "n_shingles", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 

@@ -216,7 +216,8 @@ def dedup_passages(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     lines = lines.join(long, ["doc_id", "unit"], "left").select("doc_id", F.explode(F.sequence("unit", past - 1)).alias("unit"))
     gone = lines.unionByName(parts).groupBy("doc_id").agg(F.sort_array(F.collect_set("unit")).alias("gone"))
     doc, taken = free(docs, "doc"), free(docs, "gone")
-    gone = gone.select(F.col("doc_id").alias(doc), F.col("gone").alias(taken))
+    gone = scratch.keep(gone.select(F.col("doc_id").alias(doc), F.col("gone").alias(taken)))
+    scratch.only(gone)
     columns = [c for c in docs.columns if c != "removed"]
 
     @F.pandas_udf("string")

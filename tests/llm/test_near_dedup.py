@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,3 +98,38 @@ def test_components(spark, monkeypatch, local):
     pairs = spark.createDataFrame([((2, 1), (1, 9)), ((1, 9), (1, 2)), ((5, 5), (6, 6))], "a struct<h1: long, h2: long>, b struct<h1: long, h2: long>")
     got = {tuple(r.id): tuple(r.component) for r in components(pairs, Scratch(spark, "test")).collect()}
     assert got == {(2, 1): (1, 2), (1, 9): (1, 2), (1, 2): (1, 2), (5, 5): (5, 5), (6, 6): (5, 5)}
+
+
+def test_columns_keep_their_names(spark):
+    names = ["_gone", "_doc", "_c", "key", "id", "component", "n_shingles"]
+    docs = spark.createDataFrame([(i, "one text that is there twice in all", *names) for i in (1, 2)], ["doc_id", "text", *names])
+    out = near_dedup.drop_near_duplicates(docs).collect()
+    assert len(out) == 1 and [out[0][n] for n in names] == names
+
+
+def test_long_list_without_links(spark):
+    """More texts than hubs that share a passage, are near in pairs only, and so have to be found past all hubs."""
+    rng = random.Random(12)
+    passage = [f"p{k}" for k in range(30)]
+    data = []
+    for i in range(80):
+        own = [f"w{rng.randrange(10**9)}" for _ in range(34)]
+        data += [(2 * i, " ".join(passage + own)), (2 * i + 1, " ".join(passage + own[:-1] + ["other"]))]
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert got == brute(data)
+    assert all(got[2 * i + 1] == 2 * i for i in range(80))
+
+
+def test_prefix_shares_a_value():
+    """Of any two linked sets the first values share one, in a common order, at all sizes."""
+    rng = random.Random(13)
+    for _ in range(3000):
+        n = rng.randint(1, 60)
+        both = rng.randint(0, n)
+        a = set(range(n))
+        b = set(range(both)) | {100 + k for k in range(rng.randint(0, 12))}
+        for threshold in (0.8, 0.85, 0.5):
+            if b and len(a & b) >= threshold * len(a | b):
+                order = lambda s: sorted(s, key=lambda x: hash((x, 7)))
+                size = lambda s: int(near_dedup.prefix_length(np.array([len(s)]), threshold)[0])
+                assert set(order(a)[: size(a)]) & set(order(b)[: size(b)])
