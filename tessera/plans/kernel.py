@@ -107,6 +107,34 @@ def mode_catalogue(spark, d):
     return spark.createDataFrame([(n, m["kind"]) for n, m in K.MODES.items()], "mode string, kind string")
 
 
+@query()
+def tone_statistics(spark, d):
+    """Tones of each frame's smooth picture, the curve into some bands, and the middle that it gives."""
+    schema = "id long, black double, black_all double, white double, middle double, neutral double, exponent double, new_middle double"
+    bands = {"black": (0.05, 0.2), "white": (0.85, 0.97), "middle": (0.45, 0.6)}
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples():
+                linear = K.drawn(K.grid(complex(r.re, r.im), r.width, 64, 36), family_of(r), 100, K.MODES["smooth"])
+                t = K.colour.tones(K.colour.to_bytes(linear))
+                curve = K.colour.tone_curve(t, bands)
+                out.append((r.id, t["black"], t["black_all"], t["white"], t["middle"], t["neutral"], curve and curve["exponent"], float(K.colour.toned(np.array([t["middle"]]), curve)[0])))
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
+
+    return dealt(spark, d).mapInPandas(run, schema)
+
+
+@query()
+def period_candidates(spark, d):
+    def run(batches):
+        for pdf in batches:
+            yield pd.DataFrame([(r.id, K.period_candidates(complex(r.re, r.im), r.degree)) for r in pdf.itertuples()], columns=["id", "periods"])
+
+    return dealt(spark, d).mapInPandas(run, "id long, periods array<int>")
+
+
 @query()
 def gradient_tables(spark, d):
     """A gradient per nation: baked, folded and reversed, at five places."""

@@ -239,3 +239,27 @@ def test_nearest_far_and_none(spark):
     for i, part, x, y in pts:
         want = min(((math.hypot(x - a[2], y - a[3]), a[0]) for a in pts if a[0] in (0, 7, 33) and a[1] == part), default=None)
         assert (got[i].distance, got[i].nearest) == ((None, None) if want is None else pytest.approx(want))
+
+
+def test_tones():
+    gray = np.repeat(np.linspace(0, 255, 400).astype(np.uint8)[:, None, None], 3, axis=2).repeat(10, axis=1)
+    t = colour.tones(gray)
+    assert t["neutral"] == 1.0 and t["black"] is not None and t["black"] < 0.1 < t["middle"] < t["white"] <= 1.0001
+    # In band already: the exact identity.
+    same = colour.tone_curve(t, {k: (t[k] - 0.01, t[k] + 0.01) for k in ("black", "white", "middle")})
+    x = np.linspace(0, 1, 50)
+    assert math.isclose(same["exponent"], 1.0) and np.allclose(colour.toned(x, same), x)
+    # Out of band: ends and middle go to the nearest edge of theirs.
+    curve = colour.tone_curve(t, {"white": (0.8, 0.9), "middle": (0.62, 0.65)})
+    assert np.allclose(colour.toned(np.array([t["white"], t["middle"]]), curve), [0.9, 0.62], atol=1e-6)
+    assert (np.diff(colour.toned(x, curve)) >= -1e-12).all()
+    assert colour.tone_curve(colour.tones(np.full((20, 20, 3), 90, np.uint8)), {}) is None
+    red = np.zeros((40, 40, 3), np.uint8)
+    red[..., 0] = 200
+    assert colour.tones(red)["black"] is None
+
+
+def test_period_candidates():
+    # Near the nucleus of period 3 and that of period 2.
+    assert 3 in kernel.period_candidates(-0.1225611 + 0.7448618j, 2) and 2 in kernel.period_candidates(-1.0001 + 0j, 2)
+    assert kernel.period_candidates(9 + 0j, 2) == []
