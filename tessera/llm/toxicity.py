@@ -7,33 +7,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.scratch import Scratch
-from tessera.llm.words import MEMORY, held
+from tessera.llm.scratch import free, small_batches
+from tessera.llm.words import TABLE, slices, spans_of, word_hashes
 
 #: Labelled documents that the fit uses at most (expected; drawn by hash), and buckets of the word table.
 FIT_ROWS, BUCKETS = 60_000, 1 << 19
 #: Dirichlet prior mass, standard errors a log-odds is drawn towards zero by, and the charge of a token.
 PRIOR, SHRINK, DRIFT = 1000.0, 2.0, 0.02
-_EDGES = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum())
+#: Bytes of a word that count: all but ASCII's signs.
+_PLAIN = np.array([b > 127 or chr(b).isalnum() or chr(b).isspace() for b in range(256)])
+_NUMBERS = np.where(_PLAIN[:, None], TABLE.reshape(256, 64), np.uint64(0)).ravel()
 
 
-class Buckets(dict):
-    """Word to bucket, without case and without punctuation at its ends."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= MEMORY:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word.lower().strip(_EDGES).encode()) & (BUCKETS - 1)
-        return value
-
-
-def _tokens(text: bytes | str, memory: Buckets) -> np.ndarray:
-    words = text.split()
-    return np.fromiter(map(memory.__getitem__, words), np.int64, len(words))
+def tokens(texts: pa.Array) -> list[np.ndarray]:
+    """The buckets of each text's words, without A-Z's case and ASCII's signs."""
+    words = spans_of(texts)
+    numbers, _ = word_hashes(words.data, words.starts, len(words.data), _NUMBERS, _PLAIN)
+    return np.split((numbers & np.uint64(BUCKETS - 1)).astype(np.int64), np.searchsorted(words.text, np.arange(1, len(texts))))
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
@@ -107,11 +100,11 @@ def _count():
     schema = pa.schema([("bucket", pa.int64()), ("toxic", pa.int64()), ("clean", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, seen = worker_buckets(), np.zeros((2, BUCKETS), np.int64)
-        for batch in batches:
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        seen = np.zeros((2, BUCKETS), np.int64)
+        for batch in slices(batches, 0):
+            for ids, label in zip(tokens(batch.column(0)), batch.column(1).to_pylist(), strict=True):
                 # A word counts once per document: long documents don't outvote the others.
-                seen[0 if label else 1, np.unique(_tokens(text or "", memory))] += 1
+                seen[0 if label else 1, np.unique(ids)] += 1
         at = np.flatnonzero(seen.any(0))
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[0, at]), pa.array(seen[1, at])], schema=schema)
 
@@ -122,9 +115,8 @@ def _measure(weight: np.ndarray, root: float):
     schema = pa.schema([("label", pa.int64()), *[(c, pa.float64()) for c in "xyz"]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = worker_buckets()
-        for batch in batches:
-            got = [_features(_tokens(t or "", memory), weight, root) for t in batch.column(0).to_pylist()]
+        for batch in slices(batches, 0):
+            got = [_features(ids, weight, root) for ids in tokens(batch.column(0))]
             yield pa.RecordBatch.from_arrays([batch.column(1), *[pa.array(c, pa.float64()) for c in zip(*got, strict=True)]], schema=schema)
 
     return run
@@ -166,12 +158,12 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
     Word counts, a table of at most BUCKETS rows, and three numbers for each fitted document reach the driver.
     """
     label = labels.where("toxic is not null and doc_id is not null").where(~is_held_out("doc_id"))
-    label = label.groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").cast("long").alias("_toxic"))
+    label = label.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.max("toxic").cast("long").alias("_toxic"))
     n = label.count()
     if n > rows:
         label = label.where(F.pmod(F.xxhash64("_id", F.lit(6)), F.lit(1_000_000)) < int(1_000_000 * rows / n))
     # Bounded by ``rows`` pairs of integers.
-    some = docs.join(F.broadcast(label), docs["doc_id"] == F.col("_id")).select("text", "_toxic")
+    some = docs.select("doc_id", "text").join(F.broadcast(label), F.col("doc_id").cast("long") == F.col("_id")).select("text", "_toxic")
     toxic, clean = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for bucket, a, b in some.mapInArrow(_count(), "bucket long, toxic long, clean long").groupBy("bucket").agg(F.sum("toxic"), F.sum("clean")).where("sum(toxic) + sum(clean) > 2").toPandas().itertuples(index=False):
         toxic[bucket], clean[bucket] = a, b
@@ -192,6 +184,7 @@ def toxic_scores(docs: DataFrame, model: Model) -> DataFrame:
     The whole text counts. Null and empty texts get the score of a text without any scored segment. Nothing but the
     text is an input. Columns of ``docs`` with these names give way; no rows give no rows.
     """
+    small_batches(docs.sparkSession)
     kept = [c for c in docs.columns if c not in ("score", "predicted", "segments")]
     table = docs.sparkSession.sparkContext.broadcast(model)
     kind = "struct<score: double, segments: array<struct<first: long, past: long, score: double>>>"
@@ -201,27 +194,28 @@ def toxic_scores(docs: DataFrame, model: Model) -> DataFrame:
         import pandas as pd
 
         own = table.value
-        memory = worker_buckets()
         score, passages = [], []
-        for text in texts:
-            ids = _tokens(text or "", memory)
-            score.append(own.score(ids))
-            floor = math.log(max(1, len(ids))) / own.root
-            passages.append([{"first": a, "past": b, "score": float(s)} for a, b, s in segments(own.weight[ids]) if s > floor] if len(ids) else [])
+        batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+        for part in slices(iter([batch]), 0):
+            for ids in tokens(part.column(0)):
+                score.append(own.score(ids))
+                floor = math.log(max(1, len(ids))) / own.root
+                passages.append([{"first": a, "past": b, "score": float(s)} for a, b, s in segments(own.weight[ids]) if s > floor] if len(ids) else [])
         return pd.DataFrame({"score": score, "segments": passages})
 
-    out = docs.select(*kept, measure(F.col("text")).alias("_got"))
-    return out.select(*kept, F.col("_got.score").alias("score"), (F.col("_got.score") >= 0.5).cast("int").alias("predicted"), F.col("_got.segments").alias("segments"))
-
-
-def worker_buckets() -> Buckets:
-    return held("buckets", Buckets)
+    got = free(docs, "got")
+    out = docs.select(*kept, measure(F.col("text")).alias(got))
+    return out.select(*kept, F.col(f"{got}.score").alias("score"), (F.col(f"{got}.score") >= 0.5).cast("int").alias("predicted"), F.col(f"{got}.segments").alias("segments"))
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without those that the model predicts to be toxic; same columns."""
-    scored = toxic_scores(docs.withColumn("_text", F.col("text")), fit(docs, labels))
-    return scored.where("predicted = 0").select(*docs.columns)
+    """``docs`` without those that the model predicts to be toxic; same columns, whatever their names.
+
+    Null and empty texts, null and repeated ids are scored like any others. No rows, no rows.
+    """
+    row = free(docs, "row")
+    packed = docs.select(F.struct(*docs.columns).alias(row), F.col("text"))
+    return toxic_scores(packed, fit(docs, labels)).where("predicted = 0").select(*[F.col(row)[c].alias(c) for c in docs.columns])
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -1,6 +1,8 @@
+import math
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from tessera.llm import toxicity
 from tests.llm.data import documents, empty, rows, words
@@ -71,3 +73,32 @@ def test_odd_rows(spark):
     assert toxicity.toxic_scores(documents(spark), none).where("predicted = 1").count() == 0
     clean = toxicity.keep_clean(documents(spark), lab)
     assert clean.columns == documents(spark).columns
+
+
+def test_scores_equal_slow_scorer(spark):
+    """Each score from the words' weights alone: segments by their definition, one document after the other."""
+    docs, labels = corpus(120, seed=5)
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    model = toxicity.fit(d, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    w, mean, scale = model.fit
+    got = {r.doc_id: r for r in toxicity.toxic_scores(d, model).collect()}
+    for i, text in docs[:25]:
+        x = [float(model.weight[toxicity.tokens(pa.array([word]))[0][0]]) for word in text.split()][:45]
+        short = toxicity.toxic_scores(spark.createDataFrame([(1, " ".join(text.split()[:45]))], "doc_id long, text string"), model).first()
+        found = sorted((s for _, _, s in brute_segments(x)), reverse=True)
+        n = max(1, len(x))
+        features = (-math.log(n), 0.0, 0.0)
+        if found:
+            over = [model.root * s - math.log(n) for s in found]
+            features = (over[0], math.log1p(sum(o for o in over if o > 0)), math.log1p(1000 * sum(found) / n))
+        z = sum(a * (f - m) / s for a, f, m, s in zip(w, features, mean, scale)) + w[-1]
+        assert math.isclose(short.score, 1 / (1 + math.exp(-max(-30, min(30, z)))), rel_tol=1e-5, abs_tol=1e-9)
+        assert got[i].predicted == (got[i].score >= 0.5)
+
+
+def test_columns_keep_their_names(spark):
+    docs, labels = corpus(120)
+    names = ["_text", "_got", "_id", "_toxic", "_row", "score", "segments"]
+    d = spark.createDataFrame([(i, t, *names) for i, t in docs], ["doc_id", "text", *names])
+    out = toxicity.keep_clean(d, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert out.columns == d.columns and all([r[n] for n in names] == names for r in out.collect())
