@@ -7,9 +7,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.scratch import partitions
 from tessera.llm.vectors import nearest_first, packed, usable
 
-#: Ids that a shard and a block span, and queries of a batch (as a span of ids, with one query in ``every``).
+#: Rows of a shard (on average) and of a block, queries of a batch (on average).
 SHARD, BLOCK, QUERIES = 8192, 256, 256
 
 
@@ -52,21 +53,27 @@ def top_inner_products(table: DataFrame, every: int = 20, k: int = 20, scale: fl
     """``(query_id, rank, vec_id, score)``: for each row whose id is divisible by ``every`` the ``k`` others with the
     largest inner products of the components ``floor(scale * x)``, ties to the smaller id; all, if fewer.
 
-    Documents are parted into shards, spans of 8,192 ids, and queries into batches; a task prunes blocks of one
-    shard for one batch, and each query's best of all shards are merged. Sums are of integers in double precision,
+    Documents are parted into shards of some 8,192, by hash of their ids, and queries into batches of some 256; a task
+    prunes blocks, ranges of the ids of one shard, for one batch, and each query's best of all shards are merged. Sums are of integers in double precision,
     exact below 2**53. Null vectors, vectors with null or non-finite components and rows without an id take no
     part; neither do vectors of another length than the commonest. A repeated id counts once. No rows, no result.
     """
     good = usable(table, zero=True)
     entry = F.struct("vec_id", "embedding")
-    shards = good.groupBy(F.floor(F.col("vec_id") / SHARD).alias("shard")).agg(F.sort_array(F.collect_list(entry)).alias("rows"))
-    asked = good.where(F.col("vec_id") % every == 0)
-    batches = asked.groupBy(F.floor(F.col("vec_id") / (QUERIES * every)).alias("batch")).agg(F.sort_array(F.collect_list(entry)).alias("queries"))
-    # The stated query set against all rows, in blocks: every batch meets every shard.
-    span = good.agg(F.floor(F.min("vec_id") / SHARD).alias("a"), F.floor(F.max("vec_id") / SHARD).alias("b")).first()
-    if span["a"] is None:
+    total = good.count()
+    if not total:
         return good.select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.col("vec_id").alias("score")).where("false")
-    met = batches.withColumn("shard", F.explode(F.sequence(F.lit(span["a"]), F.lit(span["b"])))).join(shards, "shard").select("queries", "rows")
+    n = -(-total // SHARD)
+    shards = good.groupBy(F.pmod(F.xxhash64("vec_id"), F.lit(n)).alias("shard")).agg(F.sort_array(F.collect_list(entry)).alias("rows"))
+    asked = good.where(F.col("vec_id") % every == 0)
+    groups = -(-total // (QUERIES * every))
+    batches = asked.groupBy(F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(groups)).alias("batch")).agg(F.sort_array(F.collect_list(entry)).alias("queries"))
+    # The stated query set against all rows, in blocks: every batch meets every shard. Shards are dealt as often as it
+    # takes for all tasks to have some, so that a shard's batches aren't one task.
+    deal = max(1, min(groups, -(-4 * partitions(table.sparkSession) // n)))
+    batches = batches.withColumn("deal", F.col("batch") % deal).withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
+    shards = shards.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(deal - 1).cast("long"))))
+    met = batches.join(shards, ["shard", "deal"]).select("queries", "rows")
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
     def run(batches):

@@ -45,9 +45,10 @@ def test_blocks_are_pruned():
 
 
 def test_neighbours_recall(spark):
+    """At the shipped settings, against all rows, on vectors without any structure."""
     frame, v = table(spark, 3000, 16)
     hits = total = 0
-    for r in neighbours.nearest_neighbours(frame, visit=0.5).groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("rank", "vec_id", "score"))).alias("f")).collect():
+    for r in neighbours.nearest_neighbours(frame).groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("rank", "vec_id", "score"))).alias("f")).collect():
         d = np.sqrt(((v.astype(float) - v[r.query_id].astype(float)) ** 2).sum(1))
         d[r.query_id] = np.inf
         want = np.lexsort((np.arange(3000), d))[:10]
@@ -75,3 +76,21 @@ def test_few_and_none(spark):
     assert neighbours.nearest_neighbours(one).count() == 0 and topk.top_inner_products(one).count() == 0
     none = few.where("vec_id > 9")
     assert neighbours.nearest_neighbours(none).count() == 0 and topk.top_inner_products(none).count() == 0
+
+
+def test_sparse_ids(spark):
+    """Ids far apart and negative: no span of them is ever spelled out."""
+    rng = np.random.default_rng(4)
+    ids = [int(x) * 20 for x in rng.integers(-(10**17), 10**17, 60)] + [10**18, 7, -3]
+    v = rng.normal(size=(len(ids), 8)).astype(np.float32)
+    frame = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in zip(ids, v, strict=True)], "vec_id long, embedding array<float>")
+    w = np.floor(64 * v.astype(float))
+    got = {}
+    for r in topk.top_inner_products(frame).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    for q, found in got.items():
+        k = ids.index(q)
+        order = [ids[i] for i in np.lexsort((ids, -(w @ w[k]))) if i != k][:20]
+        assert [x for _, x in sorted(found)] == order
+    assert set(got) == {i for i in ids if i % 20 == 0}
+    assert neighbours.nearest_neighbours(frame).select("query_id").distinct().count() == sum(i % 100 == 0 for i in ids)
