@@ -24,6 +24,27 @@ def test_edits():
         assert lines.edits(a, b) == slow_edits(a, b)
 
 
+def test_similar_equals_edits(spark, monkeypatch):
+    """Pairs that share a beginning, an end, both or all of the shorter one; the built-in function and the other."""
+    rng = random.Random(14)
+    word = lambda: "".join(rng.choice("abc") for _ in range(rng.randint(1, 4)))
+    pairs = []
+    for i in range(400):
+        x = [word() for _ in range(rng.randint(1, 24))]
+        y = list(x)
+        for _ in range(rng.randint(0, 4)):
+            k = rng.randrange(len(y) + 1)
+            y[k : k + rng.randint(0, 2)] = [word() for _ in range(rng.randint(0, 2))]
+        pairs.append((i, " ".join(x), " ".join(y) or "a"))
+    pairs += [(900, "a b", "a b c"), (901, "a", "a a"), (902, "a b a b", "a b"), (903, "x y z", "x y z")]
+    frame = spark.createDataFrame(pairs, "i long, l_line string, r_line string")
+    monkeypatch.setattr(lines, "SHARED", 0.0)
+    want = {i for i, x, y in pairs if slow_edits(x, y) <= int(0.2 * max(len(x), len(y)) + 1e-9)}
+    for short in (1024, 3):
+        monkeypatch.setattr(lines, "SHORT", short)
+        assert {r.i for r in lines._similar(frame, 0.8).collect()} == want
+
+
 def plain(line):
     return [w for w in map(lines.normal_word, line.split()) if w]
 
