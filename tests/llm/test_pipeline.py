@@ -29,3 +29,23 @@ def test_stages_take_effect(spark, tmp_path):
     assert sorted(map(tuple, run.select(order).collect())) == sorted(map(tuple, kept.select(order).collect()))
     private = spark.read.parquet(f"{tmp_path}/private_data")
     assert private.where("text like '%someone.here@%'").count() == 0
+
+
+def test_odd_rows_and_empty_tables(spark, tmp_path):
+    """Null ids, null and empty texts, repeated rows and ids, through all stages; then no rows at all."""
+    own = documents(spark).select("doc_id", "text", "lang", "source", "n_chars")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (None, 1, 1), (3, None, None)], "doc_id long, quality int, toxic int")
+    for name, docs in (("odd", own), ("none", own.where("1 = 0"))):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        (labels if name == "odd" else labels.where("1 = 0")).write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        kept = spark.read.parquet(f"{tmp_path}/{name}/documents.parquet")
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:-1]):
+            out = stage(spark, kept, f"{tmp_path}/{name}")
+            assert out.columns == docs.columns
+            out.write.parquet(f"{tmp_path}/{name}/stage{k}")
+            kept = spark.read.parquet(f"{tmp_path}/{name}/stage{k}")
+            assert kept.where("doc_id is null").count() == docs.where("doc_id is null").count()
+            assert kept.where("text is null").count() == docs.where("text is null").count()
+        rows = corpus_pipeline.run(spark, f"{tmp_path}/{name}").collect()
+        assert len({(r.doc_id, r.start, r.sequence_id, r.offset) for r in rows}) == len(rows)
+        assert sum(r.start == 0 for r in rows) == kept.count()
