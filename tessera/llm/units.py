@@ -53,23 +53,21 @@ def removals(
     """
     first = F.min(F.struct("doc_id", "unit")).alias("first")
     small_columns = [c for c in units.columns if c not in ("doc_id", "unit", "h1", "h2", "keys")]
-    texts = scratch.keep(units.select("h1", "h2", "keys", *small_columns).dropDuplicates(["h1", "h2"]))
     every, units = units, scratch.keep(units.select("doc_id", "unit", "h1", "h2"))
-    scratch.drop(every)
     twice = scratch.keep(units.groupBy("h1", "h2").agg(first, F.count("*").alias("n")).where("n > 1"))
-    # A key of one text alone links nothing: keys are counted before anything else moves, and nothing moves with them
-    # but the text's name.
-    keyed = texts.select(F.explode("keys").alias("key"), "h1", "h2")
-    several = scratch.keep(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
-    listed = scratch.keep(keyed.join(small(several), "key").distinct())
+    # A key of one text alone links nothing: keys are looked at before anything else moves, and nothing moves with them
+    # but the text's name. They are joined by a shuffle at any size, since they grow with the units.
+    keyed = every.select(F.explode("keys").alias("key"), "h1", "h2")
+    several = scratch.keep(keyed.groupBy("key").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low < high").select("key"))
+    listed = scratch.keep(keyed.join(several.hint("merge"), "key").distinct())
     # Near copies share many keys: of lists with the same members one is enough.
     own = F.xxhash64("h1", "h2")
     one = listed.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(own).alias("x"), F.min(own).alias("low"), F.max(own).alias("high"))
     listed = scratch.keep(listed.join(one.groupBy("n", "x", "low", "high").agg(F.min("key").alias("key")).select("key"), "key"))
     some = scratch.keep(listed.select("h1", "h2").distinct())
-    small_of = scratch.keep(texts.select("h1", "h2", *small_columns).join(small(some, F.lit(2)), ["h1", "h2"]))
+    small_of = scratch.keep(every.select("h1", "h2", *small_columns).join(small(some, F.lit(2)), ["h1", "h2"]).dropDuplicates(["h1", "h2"]))
     listed = scratch.keep(listed.join(small(small_of, F.lit(2 + len(small_columns))), ["h1", "h2"]).select("key", F.struct("h1", "h2").alias("id"), *small_columns))
-    scratch.drop(texts, some, small_of)
+    scratch.drop(every, some, small_of)
     scratch.settle()
 
     def firsts(ids: DataFrame) -> DataFrame:
