@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 from array import array
+from functools import cached_property
 
 from tessera.llm.words import held
 
@@ -46,10 +47,8 @@ class Packed:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.path = path
         ranks = ranks_of(path)
         self.fast = None
         if ranks:
@@ -57,6 +56,15 @@ class Packed:
 
             self.fast = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
+    @cached_property
+    def tokenizer(self):
+        """Loaded where it is needed: it takes more memory than the ranks."""
+        from tokenizers import Tokenizer
+
+        tokenizer = Tokenizer.from_file(self.path)
+        tokenizer.encode_special_tokens = True
+        return tokenizer
+
     def one(self, text: str) -> bytes:
         ids = None
         if self.fast and len(text) <= LONG:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -11,8 +13,8 @@ import pyarrow.compute as pc
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _MIX = (np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53))
-#: Words remembered by a Python worker; bytes hashed at once (about).
-MEMORY, BLOCK = 400_000, 1 << 19
+#: Bytes hashed at once (about).
+BLOCK = 1 << 19
 
 _HELD: dict = {}
 
@@ -26,6 +28,16 @@ def held(name: str, make: Callable):
     return _HELD[name]
 
 
+def let_go() -> None:
+    """Forget what this worker remembers, and give the memory back where the C library can."""
+    if _HELD:
+        _HELD.clear()
+        gc.collect()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> np.uint64(33))
     x = x * _MIX[0]
@@ -40,6 +52,7 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
 
 def slices(batches: Iterator[pa.RecordBatch], text: int, rows: int = 1024, size: int = 1 << 22) -> Iterator[pa.RecordBatch]:
     """Parts of ``batches`` of at most so many rows, and so many bytes of the column ``text`` unless a row alone has more."""
+    let_go()
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         past = np.cumsum(lengths)

@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline
 from tessera.llm import toxicity
 from tests.llm.data import documents
@@ -9,6 +11,11 @@ def test_stages_take_effect(spark, tmp_path):
     own = documents(spark, extra=False)
     table = spark.createDataFrame([(1000 + i, t, "en", "s", len(t)) for i, t in docs], "doc_id long, text string, lang string, source string, n_chars long").unionByName(own.select("doc_id", "text", "lang", "source", "n_chars"))
     table = table.unionByName(spark.createDataFrame([(5000, "write to someone.here@mail.example.com " + docs[0][1], "en", "s", 10)], table.schema))
+    # One text in lines of different lengths: no line repeats, the document does.
+    rng = random.Random(21)
+    flow = ["".join(rng.choice("abcdefghij") for _ in range(8)) for _ in range(120)]
+    wrapped = [(6000 + n, "\n".join(" ".join(flow[i : i + n]) for i in range(0, 120, n)), "en", "s", 10) for n in (40, 7)]
+    table = table.unionByName(spark.createDataFrame(wrapped, table.schema))
     table.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1000 + i, q, x) for i, q, x in labels], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
