@@ -4,9 +4,10 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from tessera.functions import colour, kernel
-from tessera.operators import draws, measure, resolve, select, spatial, supply
+from tessera.functions import colour, kernel, scalars
+from tessera.operators import draws, joins, measure, resolve, select, spatial, supply
 from tessera.operators.scratch import Scratch
 
 
@@ -263,3 +264,10 @@ def test_period_candidates():
     # Near the nucleus of period 3 and that of period 2.
     assert 3 in kernel.period_candidates(-0.1225611 + 0.7448618j, 2) and 2 in kernel.period_candidates(-1.0001 + 0j, 2)
     assert kernel.period_candidates(9 + 0j, 2) == []
+
+
+def test_closest_pair_of_two_points_and_odd_ones(spark):
+    pts = [(1, "two", 0.0, 0.0), (2, "two", 3.0, 4.0), (1, "one", 1.0, 1.0), (1, "same", 0.0, 0.0), (1, "same", 0.0, 0.0), (2, "same", 6.0, 8.0), (1, "null", None, 1.0), (2, "null", 1.0, 1.0), (1, None, 0.0, 0.0), (2, None, 0.0, 0.0)]
+    frame = spark.createDataFrame(pts, "id long, part string, x double, y double")
+    got = {r.part: r.distance for r in joins.closest_pair(frame, "part").collect()}
+    assert got == {"two": 5.0, "one": math.inf, "same": 10.0, "null": math.inf, None: math.inf}
