@@ -166,12 +166,15 @@ def merged(kind: Column, under_first: Column, over: Column, under: Column) -> Co
 #: The way back from Oklab, two matrices, fixed values.
 FROM_LAB = ((1.0, 0.3963377774, 0.2158037573), (1.0, -0.1055613458, -0.0638541728), (1.0, -0.0894841775, -1.2914855480))
 FROM_LMS = ((4.0767416621, -3.3077115913, 0.2309699292), (-1.2684380046, 2.6097574011, -0.3413193965), (-0.0041960863, -0.7034186147, 1.7076147010))
+#: Those are rounded on their own, so a colour comes back changed by some 1e-6; the inverses of TO_LAB and TO_LMS undo
+#: them to the last places.
+UNDO_LAB, UNDO_LMS = (tuple(tuple(float(x) for x in row) for row in np.linalg.inv(np.array(m))) for m in (TO_LAB, TO_LMS))
 
 
 def from_oklab(l: Column, a: Column, b: Column) -> Column:
-    """``struct<r, g, b>`` of linear light."""
-    cubes = [F.pow(m[0] * l + m[1] * a + m[2] * b, F.lit(3.0)) for m in FROM_LAB]
-    return F.struct(*[(m[0] * cubes[0] + m[1] * cubes[1] + m[2] * cubes[2]).alias(n) for m, n in zip(FROM_LMS, "rgb", strict=True)])
+    """``struct<r, g, b>`` of linear light: what ``oklab`` was given."""
+    cubes = [F.pow(m[0] * l + m[1] * a + m[2] * b, F.lit(3.0)) for m in UNDO_LAB]
+    return F.struct(*[(m[0] * cubes[0] + m[1] * cubes[1] + m[2] * cubes[2]).alias(n) for m, n in zip(UNDO_LMS, "rgb", strict=True)])
 
 
 def sector_address(symbols: Column, base: int) -> Column:

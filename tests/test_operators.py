@@ -271,3 +271,11 @@ def test_closest_pair_of_two_points_and_odd_ones(spark):
     frame = spark.createDataFrame(pts, "id long, part string, x double, y double")
     got = {r.part: r.distance for r in joins.closest_pair(frame, "part").collect()}
     assert got == {"two": 5.0, "one": math.inf, "same": 10.0, "null": math.inf, None: math.inf}
+
+
+def test_colours_come_back_from_oklab(spark):
+    rows = spark.range(256 * 8).select(*[(F.col("id") * k % 256 / 255).alias(n) for n, k in (("r", 1), ("g", 7), ("b", 13))])
+    lab = rows.select("*", scalars.oklab(*[scalars.linear(F.col(n)) for n in "rgb"]).alias("o"))
+    back = lab.select("r", "g", "b", scalars.from_oklab(F.col("o.l"), F.col("o.a"), F.col("o.b")).alias("c"))
+    off = [F.max(F.abs(scalars.encoded(F.greatest(F.col(f"c.{n}"), F.lit(0.0))) - F.col(n))) for n in "rgb"]
+    assert max(back.agg(*off).first()) < 1e-12
