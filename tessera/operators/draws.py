@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,34 +99,106 @@ def canonical_slot(tiles: DataFrame, key: str, slot: str, tile: str) -> DataFram
     return zero.select(key, F.when(F.col("_t").isNotNull(), F.col("_t")).otherwise(F.raise_error(F.concat(F.lit("no slot 0: "), F.col(key).cast("string"))).cast(kind)).alias(tile))
 
 
+#: Cells across a tile, and the rows that are compared with what a tile has kept at once.
+TILE, CHUNK = 32, 4096
+
+
+def _decided(batch: pa.RecordBatch, tile: dict, radius: float, strict: bool, shift: int) -> np.ndarray:
+    """Rows of one tile, in order, that are not lost to a kept one: 1 kept, 2 open. Rows of other tiles are 0, as are
+    those lost and those that came as kept."""
+    column = lambda n: batch.column(n).to_numpy(zero_copy_only=False)
+    x, y, was = column("x"), column("y"), column("state")
+    cx, cy = column("cx"), column("cy")
+    left, top = int(column("tx")[0]) * TILE - shift % 2 * (TILE // 2), int(column("ty")[0]) * TILE - shift // 2 * (TILE // 2)
+    # Cells of the tile and two around it; two more that hold nothing, so that each has all its neighbours.
+    i, j = (cx - left).astype(np.int64) + 4, (cy - top).astype(np.int64) + 4
+    inner = (i >= 4) & (i < TILE + 4) & (j >= 4) & (j < TILE + 4)
+    if not tile:
+        tile |= {"x": np.full((TILE + 8, TILE + 8), np.nan), "y": np.full((TILE + 8, TILE + 8), np.nan), "open": np.zeros((TILE + 8, TILE + 8), bool)}
+    kx, ky, waits = tile["x"], tile["y"], tile["open"]
+    most = radius * radius
+    lost = np.zeros(len(x), bool)
+    for u in range(-2, 3):
+        for v in range(-2, 3):
+            gap = (x - kx[i + u, j + v]) ** 2 + (y - ky[i + u, j + v]) ** 2
+            lost |= gap <= most if strict else gap < most
+    out = np.zeros(len(x), np.int32)
+    for n in np.flatnonzero(~lost | (was == 1)).tolist():
+        here, p, q = (slice(i[n] - 2, i[n] + 3), slice(j[n] - 2, j[n] + 3)), i[n], j[n]
+        if was[n] != 1:
+            gap = (x[n] - kx[here]) ** 2 + (y[n] - ky[here]) ** 2
+            if (gap <= most if strict else gap < most).any():
+                continue
+            # What lies before it in reach, or in cells in reach, isn't decided; nor is what another tile decides.
+            if not inner[n] or waits[here].any():
+                waits[p, q] = True
+                out[n] = 2 * inner[n]
+                continue
+            out[n] = 1
+        kx[p, q], ky[p, q] = x[n], y[n]
+    return out
+
+
 def kept_apart(points: DataFrame, part: str, order: str, radius: float, scratch: Scratch, strict: bool = False) -> DataFrame:
     """In order, each point ``(id, part, x, y)`` that has at least ``radius`` (more, if ``strict``) to all kept before it.
+    Points with a null or a number that isn't finite in ``part``, ``x`` or ``y`` are near nothing.
 
-    A point's fate hangs on near points before it alone. Near pairs come from equal cells; then, round by round, points
-    with no undecided point before them are kept and those near a kept one go, until no pair is undecided. So no group
-    is gathered in a task; there are as many rounds as the longest chain of points that wait for each other.
+    A cell narrower than the radius on its diagonal holds one kept point at most, so what points are compared with is
+    bounded by the plane and not by their number. Tiles of cells are passed in order, each by itself, as a stream: a
+    point near a kept one goes, one with only decided cells around it stays, and one that hangs on another tile stays
+    open, as do those after it near by. Tiles then move by half their side, until no point is open; the first open
+    point of all is decided in each round. A round reads what is open and what the last one kept.
     """
-    side = F.lit(radius)
+    fine = lambda c: F.coalesce(F.abs(F.col(c).cast("double")) < float("inf"), F.lit(False))
+    usable = fine("x") & fine("y") & F.col(part).isNotNull()
+    side = radius * 0.7071
     cell = lambda c: F.floor(F.col(c) / side)
-    steps = F.array(*[F.lit(k) for k in (-1, 0, 1)])
-    left = points.select(part, F.col("id").alias("a"), F.col(order).alias("oa"), F.col("x").alias("ax"), F.col("y").alias("ay"), cell("x").alias("cx"), cell("y").alias("cy"))
-    right = points.withColumn("i", F.explode(steps)).withColumn("j", F.explode(steps))
-    right = right.select(part, F.col("id").alias("b"), F.col(order).alias("ob"), F.col("x").alias("bx"), F.col("y").alias("by"), (cell("x") + F.col("i")).alias("cx"), (cell("y") + F.col("j")).alias("cy"))
-    gap = F.pow(F.col("ax") - F.col("bx"), 2) + F.pow(F.col("ay") - F.col("by"), 2)
-    near = gap <= radius * radius if strict else gap < radius * radius
-    before = F.struct("oa", "a") < F.struct("ob", "b")
-    edges = scratch.keep(left.join(right, [part, "cx", "cy"]).where(before & near).select("a", "b"))
-    gone = None
-    while edges.limit(1).count():
-        # Of the points that pairs are left for, those with none before them are kept, and what is near them goes.
-        heads = edges.select(F.col("a").alias("id")).distinct().join(edges.select(F.col("b").alias("id")).distinct(), "id", "left_anti")
-        lost = scratch.keep(edges.join(heads.withColumnRenamed("id", "a"), "a", "left_semi").select(F.col("b").alias("id")).distinct())
-        gone = lost if gone is None else gone.unionByName(lost)
-        kept = edges.join(lost.withColumnRenamed("id", "a"), "a", "left_anti").join(lost.withColumnRenamed("id", "b"), "b", "left_anti")
-        rest = scratch.keep(kept.join(heads.withColumnRenamed("id", "a"), "a", "left_anti"))
-        scratch.drop(edges)
-        edges = rest
-    return points if gone is None else points.join(gone, "id", "left_anti")
+    row = F.struct(*points.columns).alias("row")
+    left = points.where(usable).select(F.col(part).alias("part"), F.col(order).alias("o"), "id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), row).withColumn("cx", cell("x")).withColumn("cy", cell("y"))
+    left = left.withColumn("state", F.lit(2))
+    columns = left.columns
+    kept, turn = points.where(~usable), 0
+    while True:
+        shift = (0, 3, 1, 2)[turn % 4]
+        tiles = lambda c, s: F.explode(F.sequence(F.floor((F.col(c) + (s * (TILE // 2) - 2)) / TILE), F.floor((F.col(c) + (s * (TILE // 2) + 2)) / TILE)))  # noqa: E731, B023
+        dealt = left.withColumn("tx", tiles("cx", shift % 2)).withColumn("ty", tiles("cy", shift // 2))
+        dealt = dealt.repartition("part", "tx", "ty").sortWithinPartitions("part", "tx", "ty", "o", "id")
+
+        def run(batches, shift=shift):
+            last, tile = None, {}
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                keys = [batch.column(n) for n in ("part", "tx", "ty")]
+                fresh = np.zeros(batch.num_rows, bool)
+                fresh[0] = True
+                for k in keys:
+                    fresh[1:] |= pc.not_equal(k[1:], k[:-1]).to_numpy(zero_copy_only=False)
+                starts = np.flatnonzero(fresh).tolist()
+                state = np.zeros(batch.num_rows, np.int32)
+                for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+                    own = tuple(k[a].as_py() for k in keys)
+                    if own != last:
+                        last, tile = own, {}
+                    # Short chunks while a tile has kept little, since most of what follows is lost to it.
+                    size = 64
+                    while a < b:
+                        part_of = batch.slice(a, min(size, b - a))
+                        state[a : a + part_of.num_rows] = _decided(part_of, tile, radius, strict, shift)
+                        a, size = a + part_of.num_rows, min(CHUNK, 2 * size)
+                some = np.flatnonzero(state)
+                if len(some):
+                    out = batch.select(columns[:-1]).take(pa.array(some))
+                    yield pa.RecordBatch.from_arrays([*out.columns, pa.array(state[some], pa.int32())], names=columns)
+
+        found = scratch.keep(dealt.mapInArrow(run, left.schema))
+        if turn:
+            scratch.drop(left)
+        done = scratch.keep(found.where("state = 1").select("row.*"))
+        kept = kept.unionByName(done)
+        if not found.where("state = 2").limit(1).count():
+            return kept
+        left, turn = found, turn + 1
 
 
 def roulette(rows: DataFrame, part: str, key: str, score: str, seed: int) -> DataFrame:

@@ -279,3 +279,20 @@ def test_colours_come_back_from_oklab(spark):
     back = lab.select("r", "g", "b", scalars.from_oklab(F.col("o.l"), F.col("o.a"), F.col("o.b")).alias("c"))
     off = [F.max(F.abs(scalars.encoded(F.greatest(F.col(f"c.{n}"), F.lit(0.0))) - F.col(n))) for n in "rgb"]
     assert max(back.agg(*off).first()) < 1e-12
+
+
+def test_kept_apart_in_dense_places(spark):
+    """Many points in each other's reach, in an order along the plane, over several tiles, and odd ones."""
+    rng = random.Random(9)
+    pts = [(i, "p", i // 50, (i % 7) * 0.3 + rng.random() * 0.01, rng.choice([0.0, rng.random() * 9])) for i in range(1500)]
+    pts += [(2000 + i, "p", i, i * 0.01 - 3.0, -1.0) for i in range(900)]
+    odd = [(5000, None, 1, 0.0, 0.0), (5001, "p", 1, None, 0.0), (5002, "p", 1, math.nan, 0.0), (5003, "p", 1, math.inf, 0.0)]
+    frame = spark.createDataFrame(pts + odd, "id long, part string, at int, x double, y double")
+    for strict in (False, True):
+        kept = []
+        for p in sorted(pts, key=lambda p: (p[2], p[0])):
+            if all((p[3] - k[3]) ** 2 + (p[4] - k[4]) ** 2 > 0.05**2 or (not strict and (p[3] - k[3]) ** 2 + (p[4] - k[4]) ** 2 == 0.05**2) for k in kept):
+                kept.append(p)
+        got = draws.kept_apart(frame, "part", "at", 0.05, Scratch(spark, "test"), strict)
+        assert got.columns == frame.columns
+        assert sorted(r.id for r in got.collect()) == sorted(k[0] for k in kept) + [5000, 5001, 5002, 5003]
