@@ -224,3 +224,24 @@ def test_passage_of_a_removed_line_stays_elsewhere(spark):
 def test_passages_odd_rows(spark):
     assert passages.dedup_passages(documents(spark)).count() == len(rows())
     assert passages.dedup_passages(empty(spark)).count() == 0
+
+
+def test_common_words_are_counted_on_all_lines(spark):
+    """Beyond any number of documents, and of common words, that a sample or a list would end at."""
+    n, some = 45_000, 22_000
+    words = lambda i: f"every {'even' if i % 2 else 'odd'}{chr(97 + i % 3)} w{''.join(chr(97 + int(c)) for c in str(i % some))}x"
+    frame = spark.createDataFrame([(i, words(i) if i % 9 else f"{words(i)} {words(i)}\n{words(i)}") for i in range(n)], "doc_id long, text string")
+    counts, total = {}, 0
+    for i in range(n):
+        times = 1 if i % 9 else 2
+        total += times
+        for w in words(i).split():
+            counts[w] = counts.get(w, 0) + times
+    rare, lines.RARE = lines.RARE, 1.5 / total
+    try:
+        hashes, weights = lines._common(frame, 3)
+        want = sorted((lines.RARE / (c / total)) ** lines.POWER for c in counts.values() if c > lines.RARE * total)
+    finally:
+        lines.RARE = rare
+    assert len(want) > 20_000 and len(hashes) == len(want) and (hashes[1:] > hashes[:-1]).all()
+    assert max(abs(a - b) for a, b in zip(sorted(weights), want, strict=True)) < 1e-12
