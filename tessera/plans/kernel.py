@@ -68,8 +68,7 @@ def pictured(frames: DataFrame, modes: dict[str, dict], columns: int = 64, rows:
             out = []
             for r in pdf.itertuples():
                 points = K.grid(complex(r.re, r.im), r.width, 2 * columns, 2 * rows)
-                for name, mode in modes.items():
-                    linear = K.drawn(points, family_of(r), limit, mode)
+                for name, linear in K.all_drawn(points, family_of(r), limit, modes):
                     picture = K.colour.resampled(linear, columns, rows)
                     out.append((r.id, name, K.occupancy(picture), *picture.reshape(-1, 3).mean(0).tolist()))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])

@@ -296,3 +296,13 @@ def test_kept_apart_in_dense_places(spark):
         got = draws.kept_apart(frame, "part", "at", 0.05, Scratch(spark, "test"), strict)
         assert got.columns == frame.columns
         assert sorted(r.id for r in got.collect()) == sorted(k[0] for k in kept) + [5000, 5001, 5002, 5003]
+
+
+def test_all_modes_come_from_one_pass(monkeypatch):
+    points, family = kernel.grid(-0.5 + 0.1j, 3, 24, 16), kernel.Family("julia", 2, -0.4 + 0.6j)
+    alone = {name: kernel.drawn(points, family, 40, mode) for name, mode in kernel.MODES.items()}
+    passes, gather = [], kernel.gather
+    monkeypatch.setattr(kernel, "gather", lambda *a: passes.append(1) or gather(*a))
+    got = dict(kernel.all_drawn(points, family, 40, kernel.MODES))
+    assert len(passes) == 1 and list(got) == list(kernel.MODES)
+    assert all(np.array_equal(got[name], alone[name]) for name in got)
