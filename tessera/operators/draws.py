@@ -7,6 +7,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators.scratch import Scratch
 from tessera.operators.select import hashed, placed
@@ -139,15 +140,19 @@ def _decided(batch: pa.RecordBatch, tile: dict, radius: float, strict: bool, shi
     return out
 
 
+#: The first points in order, as a share of all and at least so many, are decided by themselves. With at most so many kept
+#: of them, these go to all tasks.
+FIRST, LEAST, SENT = 1 / 64, 50_000, 50_000
+
+
 def kept_apart(points: DataFrame, part: str, order: str, radius: float, scratch: Scratch, strict: bool = False) -> DataFrame:
     """In order, each point ``(id, part, x, y)`` that has at least ``radius`` (more, if ``strict``) to all kept before it.
     Points with a null or a number that isn't finite in ``part``, ``x`` or ``y`` are near nothing.
 
-    A cell narrower than the radius on its diagonal holds one kept point at most, so what points are compared with is
-    bounded by the plane and not by their number. Tiles of cells are passed in order, each by itself, as a stream: a
-    point near a kept one goes, one with only decided cells around it stays, and one that hangs on another tile stays
-    open, as do those after it near by. Tiles then move by half their side, until no point is open; the first open
-    point of all is decided in each round. A round reads what is open and what the last one kept.
+    A cell narrower than the radius on its diagonal holds one kept point at most, so what is kept is bounded by the plane
+    and not by the points. What a share of the points keeps, the first in order, thus rules out most others where they are
+    read, and only what is left of those moves. Where the order isn't a number, or more is kept than can be sent to all
+    tasks, all points move.
     """
     fine = lambda c: F.coalesce(F.abs(F.col(c).cast("double")) < float("inf"), F.lit(False))
     usable = fine("x") & fine("y") & F.col(part).isNotNull()
@@ -156,8 +161,42 @@ def kept_apart(points: DataFrame, part: str, order: str, radius: float, scratch:
     row = F.struct(*points.columns).alias("row")
     left = points.where(usable).select(F.col(part).alias("part"), F.col(order).alias("o"), "id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), row).withColumn("cx", cell("x")).withColumn("cy", cell("y"))
     left = left.withColumn("state", F.lit(2))
+    kept = points.where(~usable)
+    if isinstance(left.schema["o"].dataType, T.NumericType) and (n := left.count()) > LEAST:
+        cut = left.agg(F.percentile_approx("o", max(FIRST, LEAST / n))).first()[0]
+        # Nulls are first in order.
+        early = F.coalesce(F.col("o") <= F.lit(cut), F.lit(True))
+        done = scratch.keep(_all_decided(left.where(early), radius, scratch, strict))
+        if done.count() <= SENT:
+            kept = kept.unionByName(done.select("row.*"))
+            left = done.withColumn("state", F.lit(1)).unionByName(_not_lost(left.where(~early), done, radius, strict))
+    return kept.unionByName(_all_decided(left, radius, scratch, strict).select("row.*"))
+
+
+def _not_lost(left: DataFrame, kept: DataFrame, radius: float, strict: bool) -> DataFrame:
+    """Points that no kept one is near to, but for what rounding of cells lets by; ``kept`` goes to all tasks."""
+    around = lambda c: F.explode(F.sequence(F.col(c) - 1, F.col(c) + 1))
+    cell = lambda c: F.floor(F.col(c) / (radius * 1.001))
+    # A part that isn't a number equals no other.
+    odd = F.isnan("part") if isinstance(kept.schema["part"].dataType, T.FractionalType) and not isinstance(kept.schema["part"].dataType, T.DecimalType) else F.lit(False)
+    near = kept.where(~odd).select(F.col("part").alias("k_part"), F.col("x").alias("k_x"), F.col("y").alias("k_y"), cell("x").alias("i"), cell("y").alias("j"))
+    near = near.withColumn("i", around("i")).withColumn("j", around("j"))
+    x, y = F.col("x") - F.col("k_x"), F.col("y") - F.col("k_y")
+    gap, most = x * x + y * y, F.lit(radius * radius)
+    lost = (F.col("part") == F.col("k_part")) & (cell("x") == F.col("i")) & (cell("y") == F.col("j")) & (gap <= most if strict else gap < most)
+    return left.join(F.broadcast(near), lost, "left_anti")  # SENT points at most, nine times
+
+
+def _all_decided(left: DataFrame, radius: float, scratch: Scratch, strict: bool) -> DataFrame:
+    """The open points (``state`` 2) that stay, those of state 1 being kept already and before them in order.
+
+    Tiles of cells are passed in order, each by itself, as a stream: a point near a kept one goes, one with only decided
+    cells around it stays, and one that hangs on another tile stays open, as do those after it near by. Tiles then move by
+    half their side, until no point is open; the first open point of all is decided in each round. A round reads what is
+    open and what the last one kept.
+    """
     columns = left.columns
-    kept, turn = points.where(~usable), 0
+    kept, turn = left.where("false"), 0
     while True:
         shift = (0, 3, 1, 2)[turn % 4]
         tiles = lambda c, s: F.explode(F.sequence(F.floor((F.col(c) + (s * (TILE // 2) - 2)) / TILE), F.floor((F.col(c) + (s * (TILE // 2) + 2)) / TILE)))  # noqa: E731, B023
@@ -194,7 +233,7 @@ def kept_apart(points: DataFrame, part: str, order: str, radius: float, scratch:
         found = scratch.keep(dealt.mapInArrow(run, left.schema))
         if turn:
             scratch.drop(left)
-        done = scratch.keep(found.where("state = 1").select("row.*"))
+        done = scratch.keep(found.where("state = 1"))
         kept = kept.unionByName(done)
         if not found.where("state = 2").limit(1).count():
             return kept

@@ -306,3 +306,24 @@ def test_all_modes_come_from_one_pass(monkeypatch):
     got = dict(kernel.all_drawn(points, family, 40, kernel.MODES))
     assert len(passes) == 1 and list(got) == list(kernel.MODES)
     assert all(np.array_equal(got[name], alone[name]) for name in got)
+
+
+def test_kept_apart_rules_out_before_points_move(spark, monkeypatch):
+    """What the first points keep rules out most others where they are read; the result is that of one after the other."""
+    rng = random.Random(11)
+    monkeypatch.setattr(draws, "LEAST", 100)
+    seen, decided = [], draws._all_decided
+    monkeypatch.setattr(draws, "_all_decided", lambda left, *a: seen.append(left.count()) or decided(left, *a))
+    pts = [(i, rng.choice([1.0, 2.0, math.nan]) if i % 50 == 0 else 1.0, None if i == 77 else (i * 7) % 1999, rng.random() * 2 - 1, rng.random()) for i in range(2000)]
+    frame = spark.createDataFrame(pts, "id long, part double, at int, x double, y double")
+    for strict, sent, moved in ((False, 10**6, 1200), (True, 10**6, 1200), (True, 0, 2200)):
+        monkeypatch.setattr(draws, "SENT", sent)
+        seen.clear()
+        kept = []
+        for p in sorted(pts, key=lambda p: (-1 if p[2] is None else p[2], p[0])):
+            gaps = [(p[3] - k[3]) ** 2 + (p[4] - k[4]) ** 2 for k in kept if k[1] == p[1]]
+            if all(g > 0.2**2 if strict else g >= 0.2**2 for g in gaps):
+                kept.append(p)
+        got = draws.kept_apart(frame, "part", "at", 0.2, Scratch(spark, "test"), strict)
+        assert got.columns == frame.columns and sorted(r.id for r in got.collect()) == sorted(k[0] for k in kept)
+        assert len(seen) == 2 and sum(seen) <= moved
