@@ -21,6 +21,8 @@ FREQUENT, MOST = 32, 200_000
 #: 64-bit words of a set's parity sketch.
 WORDS = 4
 _BITS = [f"b{k}" for k in range(WORDS)]
+#: 64-bit words of the longer parity sketch of the sets that are compared, which bounds large sets too.
+LONG = 64
 
 
 def prefix_length(n, threshold: float):
@@ -29,6 +31,30 @@ def prefix_length(n, threshold: float):
     return n - np.ceil(n * threshold - 1e-9).astype(np.int64) + 1
 
 
+def parities(values: np.ndarray, words: int) -> np.ndarray:
+    """Of each of 64 * ``words`` groups of values, whether a set holds an odd number: two sets differ in as many values at
+    least as they do in groups."""
+    return np.bincount((values & np.uint64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
+
+
+def _compared(width: int, ids: str):
+    """Sizes, long parity sketches and all values of the sets of some texts."""
+    schema = pa.schema([(ids, pa.int64()), ("n_shingles", pa.int64()), ("parity", pa.list_(pa.int64())), ("vals", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1):
+            words = words_of(batch.column(1))
+            sets = [np.unique(shingles(own, width)) for own in np.split(words.numbers, np.searchsorted(words.text, np.arange(1, batch.num_rows)))]
+            sizes = np.array([len(x) for x in sets], np.int64)
+            odd = np.array([parities(x, LONG) for x in sets], np.uint8).reshape(len(sets), 64 * LONG)
+            lists = lambda values, each: pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(each)).astype(np.int32)), pa.array(values))
+            sketch = lists(np.packbits(odd, axis=1).view(np.int64).ravel(), np.full(len(sets), LONG))
+            flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), sketch, lists(flat, sizes)], schema=schema)
+
+    return run, f"{ids} long, n_shingles long, parity array<long>, vals array<long>"
+
+
 def _sets(width: int, retained: float | None, ids: str):
     """Sizes, checks, parity sketches and the smallest values (all, if ``retained`` is null) of the sets of some texts."""
     bits = [(b, pa.int64()) for b in _BITS]
@@ -44,7 +70,7 @@ def _sets(width: int, retained: float | None, ids: str):
                 sizes.append(n)
                 sums.append(np.add.reduce(got, dtype=np.uint64))
                 xors.append(np.bitwise_xor.reduce(got) if n else 0)
-                odd.append(np.bincount((got & np.uint64(64 * WORDS - 1)).astype(np.int64), minlength=64 * WORDS) & 1)
+                odd.append(parities(got, WORDS))
                 vals.append((got if retained is None or not n else got[: int(np.ceil(SPARE * prefix_length(np.int64(n), retained)))]).view(np.int64))
             offsets = np.concatenate([[0], np.cumsum([len(v) for v in vals])]).astype(np.int32)
             flat = np.concatenate(vals) if vals else np.zeros(0, np.int64)
@@ -125,7 +151,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.85, width: int = 5, id
     sets share one of their first n - ceil(threshold * n) + 1 values, so no link is lost to chance. The order is by
     hash, values that many sets retain last; sets of which those leave too few are ordered as a whole. The first
     values enter inverted lists. Pairs from a list pass bounds by size, by place in the order, and by the size of
-    the union that parity sketches of both sets prove; then the exact Jaccard similarity of the full sets decides.
+    the union that parity sketches of both sets prove, a short one in the lists and a longer one of the pairs that pass
+    it; then the exact Jaccard similarity of the full sets decides.
 
     Null or empty text has no shingles and links with nothing. Rows with a null id get a null component and are
     kept. Rows that repeat an id are one vertex with the texts of all. An empty table gives an empty result; other
@@ -181,11 +208,22 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.85, width: int = 5, id
         small_enough = (na + nb - apart) >= (na + nb + apart) * need
         return F.coalesce((F.least(na, nb) >= F.greatest(na, nb) * need) & (most >= (na + nb - most) * need) & small_enough, F.lit(True))
 
+    def may(a: str, b: str):
+        na, nb = F.col(f"{a}n_shingles"), F.col(f"{b}n_shingles")
+        each = F.zip_with(F.col(f"{a}parity"), F.col(f"{b}parity"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+        apart = F.aggregate(each, F.lit(0), lambda total, x: total + x)
+        return (na + nb - apart) >= (na + nb + apart) * need
+
     def linked(a: str, b: str):
         both = F.size(F.array_intersect(f"{a}vals", f"{b}vals"))
         return both >= (F.col(f"{a}n_shingles") + F.col(f"{b}n_shingles") - both) * need
 
-    group = group_by_links(lists, lambda ids: full(ids).select("id", "n_shingles", "vals"), linked, near, scratch)
+    run_compared, compared_schema = _compared(width, "id")
+
+    def compared(ids: DataFrame) -> DataFrame:
+        return source.join(small(ids), "id", "left_semi").mapInArrow(run_compared, compared_schema)
+
+    group = group_by_links(lists, compared, linked, near, scratch, bound=(["n_shingles", "parity"], may))
     # Representative -> component; then every document through its own representative. An id with several texts
     # joins their representatives.
     of_rep = rep.select("n_shingles", "sum", "xor", "rep").join(group.select(F.col("id").alias("rep"), "component"), "rep", "left")

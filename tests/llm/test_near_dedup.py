@@ -133,3 +133,30 @@ def test_prefix_shares_a_value():
                 order = lambda s: sorted(s, key=lambda x: hash((x, 7)))
                 size = lambda s: int(near_dedup.prefix_length(np.array([len(s)]), threshold)[0])
                 assert set(order(a)[: size(a)]) & set(order(b)[: size(b)])
+
+
+def test_large_sets_are_bounded_before_they_move(spark, monkeypatch):
+    """Of long texts that share a passage, only the linked ones have all their shingles moved for a comparison."""
+    rng = random.Random(21)
+    seen = []
+
+    def grouped(lists, payload, linked, near, scratch, bound=None):
+        def counted(ids):
+            wide = payload(ids)
+            if "parity" in wide.columns:
+                both = wide.alias("a").crossJoin(wide.alias("b")).where("a.id < b.id")
+                flat = both.select(*[F.col(f"{s}.{c}").alias(f"{p}_{c}") for s, p in (("a", "l"), ("b", "r")) for c in wide.columns])
+                seen.extend((r.l_id, r.r_id) for r in flat.where(bound[1]("l_", "r_")).collect())
+            return wide
+
+        return group_by_links(lists, counted, linked, near, scratch, bound=bound)
+
+    monkeypatch.setattr(near_dedup, "group_by_links", grouped)
+    passage = [f"p{k}" for k in range(900)]
+    data = []
+    for i in range(6):
+        own = [f"w{rng.randrange(10**9)}" for _ in range(700)]
+        data += [(2 * i, " ".join(passage + own)), (2 * i + 1, " ".join(passage + own[:-20] + ["other"] * 9))]
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert got == brute(data) and all(got[2 * i + 1] == 2 * i for i in range(6))
+    assert set(seen) == {(2 * i, 2 * i + 1) for i in range(6)}
