@@ -2,6 +2,7 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pyarrow as pa
 
 from tessera.llm import lines, passages
@@ -245,3 +246,20 @@ def test_common_words_are_counted_on_all_lines(spark):
         lines.RARE = rare
     assert len(want) > 20_000 and len(hashes) == len(want) and (hashes[1:] > hashes[:-1]).all()
     assert max(abs(a - b) for a, b in zip(sorted(weights), want, strict=True)) < 1e-12
+
+
+def test_words_beyond_ascii_are_hashed_together(monkeypatch):
+    """Words with letters beyond ASCII hash as their normalised letters do, by a few calls for all of a batch."""
+    calls, plain = [], lines.word_hashes
+    monkeypatch.setattr(lines, "word_hashes", lambda *a: calls.append(1) or plain(*a))
+    words = [f"É{k}x\u00fc" for k in range(3000)] + ["ΑΣ", "αΣ", "… —", "٣٤", "é" * 150, "İI", "ẞß"]
+    text = "\n".join([" ".join(words), "a b É1X\u00fc", "c d é2x\u00fc "])
+    _, _, numbers, starts, chars = lines._split(pa.RecordBatch.from_arrays([pa.array([1]), pa.array([text])], ["id", "text"]), 3)
+    assert len(calls) < 5
+    want = []
+    for line in text.split("\n"):
+        normal = [w for w in map(lines.normal_word, line.split(" ")) if w]
+        data = [np.frombuffer(w.encode(), np.uint8) for w in normal]
+        want.append(([int(plain(d, np.zeros(1, np.int64), len(d))[0][0]) for d in data], len(" ".join(normal))))
+    assert [x.tolist() for x in np.split(numbers, starts[1:])] == [w for w, _ in want]
+    assert chars.tolist() == [n for _, n in want]
