@@ -42,7 +42,7 @@ def _compared(width: int, ids: str):
     schema = pa.schema([(ids, pa.int64()), ("n_shingles", pa.int64()), ("parity", pa.list_(pa.int64())), ("vals", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, 256, 1 << 20):
             words = words_of(batch.column(1))
             sets = [np.unique(shingles(own, width)) for own in np.split(words.numbers, np.searchsorted(words.text, np.arange(1, batch.num_rows)))]
             sizes = np.array([len(x) for x in sets], np.int64)
@@ -61,7 +61,7 @@ def _sets(width: int, retained: float | None, ids: str):
     schema = pa.schema([(ids, pa.int64()), ("n_shingles", pa.int64()), ("sum", pa.int64()), ("xor", pa.int64()), *bits, ("vals", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1):
+        for batch in slices(batches, 1, 256, 1 << 20):
             sizes, sums, xors, odd, vals = [], [], [], [], []
             words = words_of(batch.column(1))
             for numbers in np.split(words.numbers, np.searchsorted(words.text, np.arange(1, batch.num_rows))):

@@ -160,3 +160,18 @@ def test_large_sets_are_bounded_before_they_move(spark, monkeypatch):
     got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(spark.createDataFrame(data, "doc_id long, text string")).collect()}
     assert got == brute(data) and all(got[2 * i + 1] == 2 * i for i in range(6))
     assert set(seen) == {(2 * i, 2 * i + 1) for i in range(6)}
+
+
+def test_workers_hold_little(monkeypatch):
+    """Sets are made of a few texts at a time, and a task that ends gives its memory back."""
+    import pyarrow as pa
+
+    from tessera.llm import near_dedup, words
+
+    calls = []
+    monkeypatch.setattr(words, "give_back", lambda: calls.append(1))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1024)), pa.array(["a b c d e f " * 300] * 1024)], ["id", "text"])
+    for run, _ in (near_dedup._sets(5, 0.85, "id"), near_dedup._compared(5, "id")):
+        sizes = [x.num_rows for x in run(iter([batch]))]
+        assert sum(sizes) == 1024 and max(sizes) * 3600 <= 1 << 20
+    assert len(calls) == 2
