@@ -263,3 +263,37 @@ def test_words_beyond_ascii_are_hashed_together(monkeypatch):
         want.append(([int(plain(d, np.zeros(1, np.int64), len(d))[0][0]) for d in data], len(" ".join(normal))))
     assert [x.tolist() for x in np.split(numbers, starts[1:])] == [w for w, _ in want]
     assert chars.tolist() == [n for _, n in want]
+
+
+def test_edits_side_by_side(monkeypatch):
+    """Many pairs at once, of any length and shape, get the answers of the slow count; few are counted one by one."""
+    rng = random.Random(8)
+    text = lambda n: "".join(rng.choice("abc é日") for _ in range(n))
+    pairs = [(x := text(rng.randint(0, 150)), x[: rng.randint(0, 150)] + text(rng.randint(0, 9)) + x[rng.randint(0, 150) :]) for _ in range(150)]
+    pairs += [(text(n), text(n + d)) for n in (1, 63, 64, 65, 128, 129) for d in (-1, 0, 1) if n + d]
+    far = [(a, b, slow_edits(a, b)) for a, b in pairs]
+    one, calls = lines.edits, []
+    monkeypatch.setattr(lines, "PAIRS", 1)
+    monkeypatch.setattr(lines, "edits", lambda *a: calls.append(1) or one(*a))
+    assert lines.within([(a, b, d) for a, b, d in far]).all()
+    assert not lines.within([(a, b, d - 1) for a, b, d in far]).any()
+    assert len(calls) < len(pairs) / 4
+
+
+def test_wide_words_are_normalised_together(monkeypatch):
+    """No word beyond ASCII is looked at by itself: what a batch costs follows its letters, not its distinct words."""
+    calls, plain = [], lines.normal_word
+    words = [f"Ж{k}\u0130\u03a3" for k in range(500)] + ["\u03a3\u03a3", "\u00b2\u0664\x00\u4e00", "\u2026\u2014"]
+    want = [lines.word_hashes(d := np.frombuffer(p.encode(), np.uint8), np.zeros(1, np.int64), len(d))[0][0] for p in map(plain, words) if p]
+    monkeypatch.setattr(lines, "normal_word", lambda w: calls.append(1) or plain(w))
+    _, _, numbers, _, _ = lines._split(pa.RecordBatch.from_arrays([pa.array([1]), pa.array([" ".join(words)])], ["id", "text"]), 3)
+    assert numbers.tolist() == want and not calls
+
+
+def test_normal_line():
+    rng = random.Random(9)
+    letters = [*map(chr, range(140)), "é", "\u03a3", "\u0130", "\u0664", "\u2003", "\xa0", "  "]
+    for size in (0, 3, 30):
+        for _ in range(500):
+            line = "".join(rng.choice(letters[: 128 if rng.random() < 0.5 else None]) for _ in range(size)).replace("\n", "")
+            assert lines.normal_line(line) == " ".join(filter(None, map(lines.normal_word, lines._SPACES.split(line))))
