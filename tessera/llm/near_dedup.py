@@ -186,7 +186,10 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.85, width: int = 5, id
     several = held.select("key")
     if not is_empty(short):
         run, schema = _prefixes(threshold, often, True)
-        late = scratch.keep(full(short).where("n_shingles > 0").select("id", "n_shingles", "vals").mapInArrow(run, schema))
+        # Written in between: two functions in one task would take two Python workers, and an executor keeps all it ever had.
+        whole = scratch.keep(full(short).where("n_shingles > 0").select("id", "n_shingles", "vals"))
+        late = scratch.keep(whole.mapInArrow(run, schema))
+        scratch.drop(whole)
         lists = lists.unionByName(late)
         several = several.unionByName(late.select("key")).distinct()
     lists = scratch.keep(lists.join(small(scratch.keep(several)), "key"))

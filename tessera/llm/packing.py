@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from tessera.llm.scratch import Scratch, partitions
 from tessera.llm.token_bytes import packed
+from tessera.llm.words import give_back
 
 LENGTH, END, GRAIN = 2048, 1, 8
 _PIECES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64())])
+_SLOTS = pa.schema([("size", pa.int32()), ("first", pa.int64()), ("past", pa.int64()), ("each", pa.int64()), ("sequence", pa.int64())])
 
 
 def _pieces(tokenizer: str, length: int):
@@ -30,6 +32,7 @@ def _pieces(tokenizer: str, length: int):
                     n = len(ids) // 4
                     rows += [(doc, s, min(length, n - s), zlib.crc32(ids[4 * s : 4 * (s + length)]), n) for s in range(0, n, length)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _PIECES.types, strict=True)], schema=_PIECES)
+        give_back()
 
     return run
 
@@ -145,7 +148,8 @@ def pack(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, gr
     base = counts.select("size", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     own = Window.partitionBy("size", "shard").orderBy("doc_id", "start", "ids_crc32")
     ranked = piece.withColumn("own", F.row_number().over(own) - 1).join(base, ["size", "shard"]).withColumn("rank", F.col("base") + F.col("own"))
-    slot = spark.createDataFrame(slots, "size int, first long, past long, each long, sequence long")
+    # An Arrow table is read in the JVM: rows would go through Python workers, which then stay beside those of the texts.
+    slot = spark.createDataFrame(pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*slots, strict=True) if slots else [[]] * 5, _SLOTS.types, strict=True)], schema=_SLOTS))
     # A row per size, so that a piece meets one row; it holds at most one slot for each pattern, of which there are hardly more than sizes.
     slot = slot.groupBy("size").agg(F.collect_list(F.struct("first", "past", "each", "sequence")).alias("slots"))
     placed = ranked.join(F.broadcast(slot), "size").withColumn("own", F.expr("filter(slots, s -> rank >= s.first and rank < s.past)[0]"))

@@ -175,3 +175,23 @@ def test_workers_hold_little(monkeypatch):
         sizes = [x.num_rows for x in run(iter([batch]))]
         assert sum(sizes) == 1024 and max(sizes) * 3600 <= 1 << 20
     assert len(calls) == 2
+
+
+def test_tasks_take_one_worker(spark, monkeypatch):
+    """No written table runs one Python function on the rows of another, sets of frequent values included."""
+    made = []
+
+    class Seen(near_dedup.Scratch):
+        def keep(self, frame):
+            made.append(frame._jdf.queryExecution().optimizedPlan().toString())
+            return super().keep(frame)
+
+    monkeypatch.setattr(near_dedup, "Scratch", Seen)
+    monkeypatch.setattr(near_dedup, "FREQUENT", 2)
+    shared = [f"p{k}" for k in range(60)]
+    data = [(i, " ".join(shared + [f"w{i}"])) for i in range(6)] + [(6, "some other words that nothing else has")]
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    assert got == brute(data)
+    # Sets of frequent values alone were ordered as a whole.
+    assert sum("MapInArrow" in p for p in made) >= 4
+    assert max(p.count("MapInArrow") for p in made) == 1

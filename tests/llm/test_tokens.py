@@ -84,3 +84,10 @@ def test_packing(spark):
             at += length
         assert at <= 2048
     assert packing.pack(empty(spark)).count() == 0
+
+
+def test_slots_take_no_python_worker(spark):
+    """The table of slots is made in the JVM: rows of a Python list would start workers of another kind beside the others."""
+    for docs in (documents(spark), empty(spark)):
+        slots = [x for x in packing.pack(docs)._jdf.queryExecution().optimizedPlan().toString().split("\n") if "ExistingRDD" in x or "LogicalRDD" in x]
+        assert not slots
