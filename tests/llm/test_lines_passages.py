@@ -297,3 +297,21 @@ def test_normal_line():
         for _ in range(500):
             line = "".join(rng.choice(letters[: 128 if rng.random() < 0.5 else None]) for _ in range(size)).replace("\n", "")
             assert lines.normal_line(line) == " ".join(filter(None, map(lines.normal_word, lines._SPACES.split(line))))
+
+
+def test_aligned_words_settle_long_lines(monkeypatch):
+    """The edits of an alignment suffice, and long lines with some words changed need no counting."""
+    rng = random.Random(8)
+    counted = []
+    within = lines.within
+    monkeypatch.setattr(lines, "within", lambda pairs: counted.append(len(pairs)) or within(pairs))
+    for k in range(300):
+        a = [rng.choice(["the", "of", ""]) if rng.random() < 0.3 else f"w{rng.randrange(60)}" for _ in range(rng.randrange(1, 60))]
+        b = [x for x in a for x in ([x], [x], [x], [], ["new", x], ["other"])[rng.randrange(6) if k % 3 else 0]]
+        x, y = " ".join(a), " ".join(b)
+        assert lines.edits(x, y) <= lines.at_most(x, y) <= max(len(x), len(y)) + 1
+        assert lines.alike(x, y, 0.8) <= (lines.edits(x, y) <= int(0.2 * max(len(x), len(y)) + 1e-9))
+    counted.clear()
+    a = [f"word{i}" for i in range(300)]
+    b = ["other" if i % 20 == 5 else x for i, x in enumerate(a)]
+    assert lines.alike(" ".join(a), " ".join(b), 0.8) and counted == [0]
