@@ -88,7 +88,8 @@ def frames(spark, d) -> DataFrame:
 
 
 def dealt(spark, d) -> DataFrame:
-    return frames(spark, d).repartition(spark.sparkContext.defaultParallelism, "id")
+    # Four tasks a core, since frames differ in cost and hashes deal few of them unevenly.
+    return frames(spark, d).repartition(4 * spark.sparkContext.defaultParallelism, "id")
 
 
 @query()

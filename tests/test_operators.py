@@ -327,3 +327,21 @@ def test_kept_apart_rules_out_before_points_move(spark, monkeypatch):
         got = draws.kept_apart(frame, "part", "at", 0.2, Scratch(spark, "test"), strict)
         assert got.columns == frame.columns and sorted(r.id for r in got.collect()) == sorted(k[0] for k in kept)
         assert len(seen) == 2 and sum(seen) <= moved
+
+
+def test_orbits_in_parts_and_only_escaping_ones_in_full(monkeypatch):
+    """What only escaped points have isn't worked out for those that never escape, and parts give what the whole gives."""
+    points, want = kernel.grid(-0.5 + 0.1j, 3, 40, 24), ("smooth", "discrete", "stripe", "velocity", "de", "itinerary", "curvature")
+    traps = ({**kernel.MODES["direct_trap_ring"], "table": kernel.GRADIENT},)
+    for family in (kernel.Family("multibrot", 2), kernel.Family("julia", 2, -0.4 + 0.6j), kernel.Family("phoenix", 2, 0.5667 + 0j, -0.5 + 0j)):
+        whole = kernel.gather(points, family, 60, want, kernel.LATTICE, traps)
+        assert 0 < whole["interior"].mean() < 1
+        with monkeypatch.context() as m:
+            m.setattr(kernel, "PART", 100)
+            parts = kernel.gather(points, family, 60, want, kernel.LATTICE, traps)
+        assert whole.keys() == parts.keys() and all(np.allclose(whole[k], parts[k], rtol=1e-12, atol=1e-12, equal_nan=True) for k in whole)
+        with monkeypatch.context() as m:
+            terms, push = [], kernel._Mean.push
+            m.setattr(kernel._Mean, "push", lambda self, at, term, *a: terms.append(len(term)) or push(self, at, term, *a))
+            stripe = kernel.gather(points, family, 60, ("stripe", "discrete"))
+        assert sum(terms) == np.nansum(stripe["discrete"]) and np.array_equal(np.isnan(stripe["stripe"]), stripe["interior"])
