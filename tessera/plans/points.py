@@ -63,7 +63,5 @@ def knn_embeddings(spark, d):
 @query("""with s as (select vec_id, label, embedding from embeddings), p as (select a.label, list_distance(a.embedding::double[], b.embedding::double[]) as g from s a join s b on a.label = b.label and a.vec_id < b.vec_id)
 select label, round(min(g), 6) as closest, round(avg(g), 6) as mean, round(max(g), 6) as widest, count(*) as pairs from p group by label""")
 def palette_tightness(spark, d):
-    s = table(spark, d, "embeddings")
-    a, b = s.select("label", F.col("vec_id").alias("i"), F.col("embedding").alias("x")), s.select("label", F.col("vec_id").alias("j"), F.col("embedding").alias("y"))
-    g = a.join(b, "label").where("i < j").select("label", X.distance(F.col("x"), F.col("y")).alias("g"))
-    return g.groupBy("label").agg(F.round(F.min("g"), 6).alias("closest"), F.round(F.avg("g"), 6).alias("mean"), F.round(F.max("g"), 6).alias("widest"), F.count("*").alias("pairs"))
+    got = X.pair_spread(table(spark, d, "embeddings"), "label", "vec_id", "embedding")
+    return got.select("label", *[F.round(c, 6).alias(c) for c in ("closest", "mean", "widest")], "pairs")

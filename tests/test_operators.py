@@ -345,3 +345,28 @@ def test_orbits_in_parts_and_only_escaping_ones_in_full(monkeypatch):
             m.setattr(kernel._Mean, "push", lambda self, at, term, *a: terms.append(len(term)) or push(self, at, term, *a))
             stripe = kernel.gather(points, family, 60, ("stripe", "discrete"))
         assert sum(terms) == np.nansum(stripe["discrete"]) and np.array_equal(np.isnan(stripe["stripe"]), stripe["interior"])
+
+
+def test_pair_spread_equals_all_pairs(spark, monkeypatch):
+    """Groups in parts, copies, repeated ids, and vectors that are null, odd, huge or of another length."""
+    rng = random.Random(5)
+    rows = [(g, i, [rng.gauss(0, 1) for _ in range(6)]) for g, n in ((1, 90), (2, 30), (3, 1)) for i in range(n)]
+    rows += [(1, 200, rows[3][2]), (1, 5, [9.0] * 6), (1, 201, [x + 1e-7 for x in rows[4][2]]), (2, 77, None), (2, 78, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (2, 79, [1.0, 2.0])]
+    rows += [(4, 1, [math.inf] * 6), (4, 2, [0.0] * 6), (4, 3, [math.nan] * 6), (4, 4, [1e200] * 6), (5, 1, None), (5, 2, [0.0] * 6), (None, 1, [0.0] * 6), (2, None, [0.0] * 6), (6, 1, [1e5] * 6), (6, 2, [1e5 + 1e-3] * 6)]
+    frame = spark.createDataFrame(rows, "label int, vec_id long, embedding array<double>")
+    a, b = (frame.select("label", F.col("vec_id").alias(i), F.col("embedding").alias(x)) for i, x in (("i", "x"), ("j", "y")))
+    pairs = a.join(b, "label").where("i < j").withColumn("d", spatial.distance(F.col("x"), F.col("y")))
+    want = {r[0]: r[1:] for r in pairs.groupBy("label").agg(F.min("d"), F.avg("d"), F.max("d"), F.count("*")).collect()}
+    for whole, part, block in ((8192, 2**21, 1024), (20, 6, 1024), (20, 6, 7)):
+        for name, value in (("WHOLE", whole), ("PART", part), ("ROWS", 5), ("COLUMNS", block)):
+            monkeypatch.setattr(spatial, name, value)
+        got = {r[0]: r[1:] for r in spatial.pair_spread(frame, "label", "vec_id", "embedding").collect()}
+        assert got.keys() == want.keys()
+        assert all(g == w or g == pytest.approx(w, rel=1e-11, abs=1e-9, nan_ok=True) for k in want for g, w in zip(got[k], want[k])), (got, want)
+
+
+def test_palettes_are_compared_in_blocks(spark):
+    from tessera.plans import registry
+
+    plan = registry.QUERIES["palette_tightness"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    assert "FlatMapGroupsInArrow" in plan and "zip_with" not in plan
