@@ -370,3 +370,29 @@ def test_palettes_are_compared_in_blocks(spark):
 
     plan = registry.QUERIES["palette_tightness"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "FlatMapGroupsInArrow" in plan and "zip_with" not in plan
+
+
+def _points_and_pairs(seed, n=400):
+    rng = random.Random(seed)
+    at = lambda: rng.choice([rng.uniform(-3, 3), rng.gauss(0, 0.05), 0.25])
+    pts = [(i, rng.choice("pq"), at(), at(), rng.choice([10 ** rng.uniform(-3, 0.5), 1.5 ** rng.randint(-9, 3), 0.3, 0.0])) for i in range(n)]
+    pts += [(n + i, "p", i * 0.4, -7.0, 1.0) for i in range(150)]
+    odd = [(9000, None, 0.0, 0.0, 1.0), (9001, "p", None, 0.0, 1.0), (9002, "p", math.nan, 0.0, 1.0), (9003, "p", math.inf, 0.0, 1.0), (9004, "p", 0.0, 0.0, None), (9005, "p", 0.0, 0.0, -1.0), (9006, "p", 0.0, 0.0, math.nan), (9007, "p", 1e300, -1e300, 1.0), (9008, "p", 1e300, -1e300, 1.0)]
+    pairs = {(a[0], b[0]) for k, a in enumerate(pts) for b in pts[k + 1 :] if a[1] == b[1] and max(a[4], b[4]) <= 1.5 * min(a[4], b[4]) and math.sqrt((a[2] - b[2]) ** 2 + (a[3] - b[3]) ** 2) <= 0.5 * min(a[4], b[4])} | {(9007, 9008)}
+    return pts + odd, pairs
+
+
+def test_neighbours_across_tiles_bands_and_levels(spark):
+    for seed in (1, 2):
+        pts, pairs = _points_and_pairs(seed)
+        got = spatial.neighbour_edges(spark.createDataFrame(pts, "id long, plane string, x double, y double, width double"), "plane")
+        rows = [tuple(r) for r in got.collect()]
+        assert len(pairs) > 500 and len(rows) == len(set(rows)) and set(rows) == pairs
+
+
+def test_neighbours_move_points_once_and_no_pairs(spark):
+    """Before, a point moved eleven times to cells, and all pairs were shuffled to be distinct."""
+    frame = spark.range(3000).select("id", F.lit("p").alias("plane"), F.rand(1).alias("x"), F.rand(2).alias("y"), F.lit(0.02).alias("width"))
+    assert spatial._tiled(frame, "plane", 1.5, 0.5).count() < 2 * 3000
+    plan = spatial.neighbour_edges(frame, "plane")._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert plan.count("Exchange") == 1 and "Join" not in plan
