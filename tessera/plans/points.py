@@ -46,9 +46,7 @@ where greatest(a.width, b.width) <= 1.5 * least(a.width, b.width) and sqrt(pow(a
 r as (select id, id as c from p union select r.id, e.b from r join e on r.c = e.a)
 select id, min(c) as component from r group by id""")
 def band_groups(spark, d):
-    p = points(spark, d)
-    got = X.components(X.neighbour_edges(p, "part"), Scratch(spark, "groups"))
-    return p.select("id").join(got, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
+    return X.neighbour_groups(points(spark, d), "part", Scratch(spark, "groups"))
 
 
 @query("""with v as (select vec_id, embedding from embeddings), a as (select embedding as e from v where vec_id = 7)

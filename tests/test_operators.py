@@ -396,3 +396,19 @@ def test_neighbours_move_points_once_and_no_pairs(spark):
     assert spatial._tiled(frame, "plane", 1.5, 0.5).count() < 2 * 3000
     plan = spatial.neighbour_edges(frame, "plane")._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
     assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_neighbour_groups_equal_reachable_ids(spark, monkeypatch):
+    linked, components = [], spatial.components
+    monkeypatch.setattr(spatial, "components", lambda edges, *a: linked.append(edges.count()) or components(edges, *a))
+    for seed, few in ((3, 0), (4, 10**6)):
+        monkeypatch.setattr(spatial, "FEW", few)
+        pts, pairs = _points_and_pairs(seed)
+        least = {p[0]: p[0] for p in pts}
+        while any(least[a] != least[b] for a, b in pairs):
+            for a, b in pairs:
+                least[a] = least[b] = min(least[a], least[b])
+        got = spatial.neighbour_groups(spark.createDataFrame(pts, "id long, plane string, x double, y double, width double"), "plane", Scratch(spark, "test"))
+        assert sorted(tuple(r) for r in got.collect()) == sorted(least.items())
+    # Only points between tiles link groups, not all pairs.
+    assert len(linked) == 1 and linked[0] < len(pairs)
